@@ -1,0 +1,50 @@
+"""Secret scans against the plain expressions, and planted formats."""
+
+import random
+import re
+
+import pytest
+
+from eventloom.llm import secrets as S
+
+PLAIN = {
+    "assign": (re.compile(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.A), lambda m: len(m.group(2)) >= 6),
+    "access": (re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m.group()) >= 20),
+    "hex": (re.compile(r"[0-9a-f]+"), lambda m: len(m.group()) >= 24),
+}
+
+
+def plain(text):
+    found = [(k, m.start(), m.end()) for k, (e, ok) in PLAIN.items() for m in e.finditer(text) if ok(m)]
+    return sorted(found, key=lambda x: (x[1], list(PLAIN).index(x[0])))
+
+
+def test_base_spans_equal_the_plain_expressions():
+    rng = random.Random(3)
+    parts = ["password", "PassWd", "secret", "token", "api_key", "ApiKey", "=", ": ", " ", '"', "'", "AKIA", "ABCDEFGH12345678", "é", "ſ", "K", "😀", "abcdef0123456789", "0123456789abcdef01234567", ".", "zz", "\n", "AKIAAKIA"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
+        assert [s for s in S.scan(text) if s[0] in PLAIN] == plain(text), text
+
+
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ("x ghp_" + "g" * 30 + S.crc_base62("g" * 30) + " y", "github"),
+        ("npm_" + "Z" * 30 + S.crc_base62("Z" * 30), "npm"),
+        ("eyJhbGciOiJIUzI1NiJ9.e30.c2ln", "jwt"),
+        ("-----BEGIN PRIVATE KEY-----\nMAMCAQA=\n-----END PRIVATE KEY-----", "private_key"),
+    ],
+)
+def test_checksums(text, kind):
+    assert [s[0] for s in S.scan(text)] == [kind]
+    broken = text.replace("g" * 30, "b" * 30).replace("Z" * 30, "Y" * 30).replace("eyJhbGci", "eyJhbGcj").replace("MAMC", "MAQC")
+    assert S.scan(broken) == []
+
+
+def test_edges(spark):
+    rows = [(1, None), (1, None), (2, ""), (3, "é token = abcdef"), (None, "AKIA" + "A" * 16), (4, "a" * 200_000 + " password=" + "x" * 50_000)]
+    frame = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, spans string")
+    got = sorted(((r.doc_id, [tuple(s) for s in r.spans]) for r in S.secrets(frame).collect()), key=str)
+    assert got == sorted(((i, S.scan(t)) for i, t in rows), key=str)
+    assert S.secrets(frame.limit(0)).count() == 0
