@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import op10_bpe
 from .quality import op1_quality
+from .secrets import op6_secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_quality": op1_quality}
+    return {
+        "op1_quality": op1_quality,
+        "op6_secrets": op6_secrets,
+        "op10_bpe": op10_bpe,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
