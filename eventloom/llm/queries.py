@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op10_bpe
 from .quality import op1_quality
 from .secrets import op6_secrets
+from .simhash import op4_simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
+        "op4_simhash": op4_simhash,
         "op6_secrets": op6_secrets,
         "op10_bpe": op10_bpe,
     }
