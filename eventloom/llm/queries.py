@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op10_bpe
+from .decontaminate import op7_decontaminate
+from .language import op5_language
 from .quality import op1_quality
 from .secrets import op6_secrets
 from .simhash import op4_simhash
@@ -16,7 +18,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op4_simhash": op4_simhash,
+        "op5_language": op5_language,
         "op6_secrets": op6_secrets,
+        "op7_decontaminate": op7_decontaminate,
         "op10_bpe": op10_bpe,
     }
 
