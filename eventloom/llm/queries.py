@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op10_bpe
 from .decontaminate import op7_decontaminate
 from .language import op5_language
+from .lines import OP2_SQL, op2_lines
 from .quality import op1_quality
 from .secrets import op6_secrets
 from .simhash import op4_simhash
@@ -17,6 +18,7 @@ from .simhash import op4_simhash
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
+        "op2_lines": op2_lines,
         "op4_simhash": op4_simhash,
         "op5_language": op5_language,
         "op6_secrets": op6_secrets,
@@ -26,4 +28,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_lines": OP2_SQL}
