@@ -1,0 +1,291 @@
+"""Personal data by weak supervision (operator 3).
+
+Candidate spans come from the base expressions and from looser ones. Five labelers (strict
+shape, checksum or range, gazetteer, context before, delimiters around) vote for, against or
+not at all on each candidate. Expectation-maximisation over the counted vote patterns
+estimates how reliable each labeler is for each kind, and its posteriors train the final span
+classifier (log odds of votes and shape) that decides on the candidates that are not base
+spans. Base spans always stay.
+
+One pass over the texts writes the few candidates of each text to the shared folder. The
+driver then receives the counts of distinct patterns of votes and shape, at most
+3^5 * 4 * 3 for each of nine kinds whatever the number of texts, and fits the two models in
+exact order; everything else is DataFrame expressions. Expressions are possessive and
+anchored, so a scan is linear in the length of a text.
+
+Defined results: a null or empty text has no spans; repeated rows give repeated result rows;
+an empty table gives an empty result; columns other than the id and the text are ignored.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .common import let, materialize, table
+
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "email_text", "phone_local", "ssn", "iban", "name")
+LABELERS = ("shape", "check", "gazetteer", "before", "around")
+ROUNDS = 40
+#: Characters of context that the context labeler reads.
+CONTEXT = 24
+CHUNK = 512
+
+LOCAL = "A-Za-z0-9._%+-"
+#: A run may begin where the last match ended, or where no run character stands before it: the
+#: places where an unanchored search would begin a match.
+EXPRESSIONS = {
+    "email": rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
+    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "email_text": r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]++\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]++(?:\x20?(?:[\[(](?:dot|DOT)[\])]|\.)\x20?[A-Za-z0-9-]++)++",
+    "phone_local": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9A-Za-z])",
+    "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
+    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
+    "name": r"(?<![\p{L}0-9])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?\x20\p{Lu}\p{Ll}++(?:\x20\p{Lu}\p{Ll}++)?",
+}
+#: What a text must have before the longer expression is tried.
+NEEDS = {
+    "email": "@",
+    "ip": r"[0-9]\.[0-9]",
+    "card": r"[0-9](?:[\x20-]?[0-9]){12}",
+    "phone": r"\+[0-9]",
+    "email_text": r"[\[(](?:at|AT)[\])]",
+    "phone_local": r"[0-9]{3}[.\x20-][0-9]{4}",
+    "ssn": r"[0-9]-[0-9]{2}-[0-9]",
+    "iban": r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}",
+    "name": r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?\x20\p{Lu}",
+}
+#: Strict shapes, for the first labeler.
+SHAPES = {
+    "email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}$",
+    "ip": r"^(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}$",
+    "card": r"^(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})$",
+    "phone": r"^\+[1-9][0-9]{0,2}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){1,4}$",
+    "email_text": r"(?:\[|\()(?:at|AT)(?:\]|\)).*(?:dot|DOT|\.)",
+    "phone_local": r"^\([2-9][0-9]{2}\) ?[2-9]|^[2-9][0-9]{2}[-.][2-9][0-9]{2}[-.]",
+    "ssn": r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$",
+    "iban": r"^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$|^[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?$",
+    "name": r"\p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+$",
+}
+# Fixed word lists.
+GAZETTEER_FOR = {
+    "email": r"\.(?:com|org|net|edu|gov|info|io|de|fr|es|it|uk|eu|ch|at|nl|us|ca)$",
+    "ip": r"^(?!0\.|127\.|255\.|22[4-9]\.|23[0-9]\.|24[0-9]\.|25[0-5]\.)",
+    "card": r"^(?:4|5[1-5]|2[2-7]|3[47]|6(?:011|5)|35)",
+    "phone": r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})",
+    "email_text": r"(?:com|org|net|edu|de|fr|es)$",
+    "phone_local": r"^\(?(?:2|3|4|5|6|7|8|9)",
+    "ssn": r"^[0-8]",
+    "iban": r"^(?:AT|BE|CH|CZ|DE|DK|ES|FI|FR|GB|GR|IE|IT|LU|NL|NO|PL|PT|SE)",
+    "name": r"(?:James|John|Robert|Michael|William|David|Mary|Anna|Maria|Sarah|Peter|Thomas|Hans|Klaus|Marie|Jean|Pierre|Jose|Juan|Carmen)",
+}
+CONTEXT_FOR = r"(?:e-?mail|mail|contact|kontakt|correo|courriel|phone|call|tel|fax|mobile|telefon|ssn|social|card|visa|credit|karte|iban|account|konto|ip|address|addr|host|name|dear|from)\W*$"
+CONTEXT_AGAINST = r"(?:version|release|build|section|chapter|page|isbn|issn|order|invoice|ref|serial|part|figure|v)\W*$"
+
+
+def prefix_sums(values: Column) -> Column:
+    """Sum of the values before each value; in chunks, so that long arrays stay cheap."""
+
+    def whole(chunks: Column) -> Column:
+        def total(xs: Column) -> Column:
+            return F.aggregate(xs, F.lit(0), lambda s, x: s + x)
+
+        return let(
+            F.transform(chunks, total),
+            lambda sums: F.flatten(
+                F.transform(
+                    chunks,
+                    lambda xs, c: F.aggregate(
+                        xs,
+                        F.struct(total(F.slice(sums, 1, c)).alias("at"), F.array().cast("array<int>").alias("out")),
+                        lambda s, x: F.struct((s.at + x).alias("at"), F.array_append(s.out, s.at).alias("out")),
+                    ).out,
+                )
+            ),
+        )
+
+    starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(values) / CHUNK).cast("int") - 1, F.lit(0)))
+    return let(values, lambda v: let(F.transform(starts, lambda c: F.slice(v, c * CHUNK + 1, CHUNK)), whole))
+
+
+def digits_of(match: Column) -> Column:
+    return F.regexp_replace(match, "[^0-9]", "")
+
+
+def luhn(digits: Column) -> Column:
+    """Whether digits (19 or fewer) pass the Luhn check."""
+    doubled = lambda d: F.when(d > 4, d * 2 - 9).otherwise(d * 2)
+    value = lambda i: F.substring(F.reverse(digits), i, F.lit(1)).cast("int")
+    total = F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), lambda s, i: s + F.when(i % 2 == 0, doubled(value(i))).otherwise(value(i)))
+    return total % 10 == 0
+
+
+def mod97(match: Column) -> Column:
+    """Whether an account number of 34 characters or fewer has the remainder 1."""
+    plain = F.regexp_replace(match, " ", "")
+    turned = F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))
+    points = F.transform(F.filter(F.split(turned, ""), lambda c: c != ""), lambda c: F.when(c.rlike("[0-9]"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55))
+    return F.aggregate(points, F.lit(0), lambda s, x: F.when(x > 9, s * 100 + x).otherwise(s * 10 + x) % 97) == 1
+
+
+def base_valid(kind: str, match: Column) -> Column:
+    """The base rules on a match; of the other kinds, only account numbers have a checksum."""
+    count = F.length(digits_of(match))
+    if kind == "ip":
+        return match.rlike(r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?:\.0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})){3}$")
+    if kind == "card":
+        return F.when(count.between(13, 19), luhn(digits_of(match))).otherwise(F.lit(False))
+    if kind == "phone":
+        return count.between(9, 15)
+    if kind == "iban":
+        return mod97(match)
+    return F.lit(True)
+
+
+def checked(kind: str, match: Column) -> Column:
+    """The vote of the second labeler: a checksum or a range, where the kind has one."""
+    if kind in ("card", "ip", "phone", "iban"):
+        return F.lit(1)  # the rules hold already
+    if kind == "ssn":
+        return F.when(match.rlike(SHAPES["ssn"]), 1).otherwise(-1)
+    return F.lit(0)
+
+
+def vote(name: str, value: Column) -> Column:
+    return F.concat(F.lit(f"{name}:"), value.cast("string"))
+
+
+def candidates(text: Column, kind: str) -> Column:
+    """Spans of a kind: kind number, start, end (code points) and features (votes and shape)."""
+
+    def span(found: Column) -> Column:
+        def one(m: Column, i: Column) -> Column:
+            start = F.get(found.at, i) + F.length(F.get(found.p, i))
+            before = F.lower(F.right(F.get(found.p, i), F.lit(CONTEXT)))
+            around = F.concat(F.right(F.get(found.p, i), F.lit(1)), F.lit("|"), F.left(F.get(found.p, i + 1), F.lit(1)))
+            digits, size = F.length(digits_of(m)), F.length(m)
+            features = [
+                vote("shape", F.when(m.rlike(SHAPES[kind]), 1).otherwise(-1)),
+                vote("check", checked(kind, m)),
+                vote("gazetteer", F.when(m.rlike(GAZETTEER_FOR[kind]), 1).otherwise(-1)),
+                vote("before", F.when(before.rlike(CONTEXT_AGAINST), -1).when(before.rlike(CONTEXT_FOR), 1).otherwise(0)),
+                vote("around", F.when(around.rlike(r"[\p{L}0-9]\||\|[\p{L}0-9]"), -1).when(around.rlike(r"^[\x20\x09-\x0D]?\|[\x20\x09-\x0D.,;:!?)]?$"), 1).otherwise(0)),
+                F.when(size < 12, "size:a").when(size < 18, "size:b").when(size < 28, "size:c").otherwise("size:d"),
+                F.when(digits == 0, "digits:none").when(digits * 2 < size, "digits:some").otherwise("digits:most"),
+            ]
+            return F.when(base_valid(kind, m), F.struct(F.lit(KINDS.index(kind)).alias("kind"), start.alias("start"), (start + size).alias("end"), F.array(*features).alias("features")))
+
+        return F.filter(F.transform(found.m, one), lambda x: x.isNotNull())
+
+    expression = EXPRESSIONS[kind]
+    pieces = F.struct(F.regexp_extract_all(text, F.lit(expression), F.lit(0)).alias("m"), F.split(text, expression).alias("p"))
+    placed = let(pieces, lambda x: F.struct(x.m.alias("m"), x.p.alias("p"), prefix_sums(F.transform(x.m, lambda m, i: F.length(m) + F.length(F.get(x.p, i)))).alias("at")))
+    needed = F.contains(text, F.lit("@")) if kind == "email" else text.rlike(NEEDS[kind])
+    return F.when(needed, let(placed, span))
+
+
+def apart(spans: Column, others: Column) -> Column:
+    """The spans that overlap none of the others; both are sorted by place, each free of overlaps."""
+    return F.when(F.size(others) == 0, spans).otherwise(F.filter(spans, lambda s: ~F.exists(others, lambda o: (o.start < s.end) & (s.start < o.end))))
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, base and extra: the spans of the base kinds, and looser candidates apart from them."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    found = rows.select("doc_id", *(candidates(F.col("t"), k).alias(k) for k in KINDS))
+    none = "array<struct<kind:int,start:int,end:int,features:array<string>>>"
+    held = {k: F.coalesce(F.col(k), F.array().cast(none)) for k in KINDS}
+    base = F.concat(*(held[k] for k in BASE_KINDS))
+    extra = F.concat(*(held[k] for k in KINDS if k not in BASE_KINDS))
+    return found.select("doc_id", base.alias("base"), extra.alias("extra")).select("doc_id", "base", apart(F.col("extra"), F.col("base")).alias("extra"))
+
+
+def estimate(patterns: dict[tuple[str, ...], int]) -> dict[tuple[str, ...], float]:
+    """Chance that each pattern of votes is personal data, by EM for one kind.
+
+    Every labeler has its own chances of voting +1, 0 and -1 on either class; pseudo-counts
+    lean towards labelers that are better than chance, which also fixes which class is which.
+    """
+    names = [f"{n}:" for n in LABELERS]
+    votes = {p: [next(f for f in p if f.startswith(n)) for n in names] for p in patterns}
+    chance = {}
+    for p, v in votes.items():
+        total = sum(int(x.partition(":")[2]) for x in v)
+        chance[p] = 0.9 if total > 0 else 0.1 if total < 0 else 0.5
+    lean = {"1": (2.0, 0.5), "0": (1.0, 1.0), "-1": (0.5, 2.0)}
+    for _ in range(ROUNDS):
+        share = (sum(chance[p] * n for p, n in patterns.items()) + 1) / (sum(patterns.values()) + 2)
+        rates = []
+        for j in range(len(names)):
+            sums = {v: list(c) for v, c in lean.items()}
+            for p, n in patterns.items():
+                v = votes[p][j].partition(":")[2]
+                sums[v][0] += chance[p] * n
+                sums[v][1] += (1 - chance[p]) * n
+            totals = [sum(s[k] for s in sums.values()) for k in (0, 1)]
+            rates.append({v: math.log(s[0] / totals[0]) - math.log(s[1] / totals[1]) for v, s in sums.items()})
+        for p, v in votes.items():
+            odds = math.log(share) - math.log(1 - share) + sum(r[x.partition(":")[2]] for r, x in zip(rates, v, strict=True))
+            chance[p] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
+    return chance
+
+
+def train(counts: list[tuple[int, tuple[str, ...], int]]) -> dict[str, float]:
+    """The span classifier: a bias for each kind and a weight for each of its features."""
+    weights: dict[str, float] = {}
+    for kind in range(len(KINDS)):
+        patterns = {f: n for k, f, n in sorted(counts) if k == kind}
+        if not patterns:
+            continue
+        chance = estimate(patterns)
+        yes = sum(chance[p] * n for p, n in patterns.items())
+        no = sum((1 - chance[p]) * n for p, n in patterns.items())
+        weights[f"{kind}|"] = math.log((yes + 1) / (no + 1))
+        for feature in sorted({f for p in patterns for f in p}):
+            of = [(p, n) for p, n in patterns.items() if feature in p]
+            a, b = sum(chance[p] * n for p, n in of), sum((1 - chance[p]) * n for p, n in of)
+            weights[f"{kind}|{feature}"] = math.log((a + 1) / (yes + 2)) - math.log((b + 1) / (no + 2))
+    return weights
+
+
+def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, base (spans), added (spans that the classifier accepts) and doubted (base spans it would refuse)."""
+    scanned = materialize(scan(docs, id_col, text_col), "pii-spans")
+    every = scanned.select(F.explode(F.concat("base", "extra")).alias("s"))
+    counts = every.groupBy("s.kind", "s.features").count().collect()  # bounded by the number of patterns
+    weights = train([(r[0], tuple(r[1]), r[2]) for r in counts])
+    table_of = F.create_map(*(F.lit(x) for pair in weights.items() for x in pair)) if weights else F.lit(None).cast("map<string,double>")
+
+    def odds(s: Column) -> Column:
+        weight = lambda f: F.coalesce(F.try_element_at(table_of, F.concat(s.kind.cast("string"), F.lit("|"), f)), F.lit(0.0))
+        return F.aggregate(s.features, weight(F.lit("")), lambda total, f: total + weight(f))
+
+    place = lambda spans: F.transform(spans, lambda s: F.struct(s.kind.alias("kind"), s.start.alias("start"), s.end.alias("end")))
+    return scanned.select(
+        "doc_id",
+        place(F.col("base")).alias("base"),
+        place(F.filter("extra", lambda s: odds(s) > 0)).alias("added"),
+        F.size(F.filter("base", lambda s: odds(s) <= 0)).alias("doubted"),
+    )
+
+
+def joined(spans: Column) -> Column:
+    """kind:start:end of spans by kind and start, comma-joined."""
+    name = lambda s: F.get(F.array(*map(F.lit, KINDS)), s.kind)
+    return F.array_join(F.transform(F.sort_array(spans), lambda s: F.concat_ws(":", name(s), s.start.cast("string"), s.end.cast("string"))), ",")
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents"))
+    count = lambda i: F.size(F.filter("base", lambda s: s.kind == i)).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(i).alias(f"n_{k}") for i, k in enumerate(BASE_KINDS)),
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.concat("base", "added")).alias("spans"),
+    )

@@ -10,6 +10,7 @@ from .bpe import op10_bpe
 from .decontaminate import op7_decontaminate
 from .language import op5_language
 from .lines import OP2_SQL, op2_lines
+from .pii import op3_pii
 from .quality import op1_quality
 from .secrets import op6_secrets
 from .simhash import op4_simhash
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op2_lines": op2_lines,
+        "op3_pii": op3_pii,
         "op4_simhash": op4_simhash,
         "op5_language": op5_language,
         "op6_secrets": op6_secrets,
