@@ -10,12 +10,19 @@ from .bpe import op10_bpe
 from .decontaminate import op7_decontaminate
 from .language import op5_language
 from .lines import OP2_SQL, op2_lines
+from .pages import op8_pages
 from .pii import op3_pii
 from .quality import op1_quality
 from .secrets import op6_secrets
 from .simhash import op4_simhash
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -25,7 +32,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_language": op5_language,
         "op6_secrets": op6_secrets,
         "op7_decontaminate": op7_decontaminate,
+        "op8_pages": op8_pages,
         "op10_bpe": op10_bpe,
+        "pipeline": pipeline,
     }
 
 
