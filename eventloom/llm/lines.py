@@ -2,17 +2,16 @@
 
 Every line is parsed at fixed depth: tokens with digits or an at sign become a wildcard, then
 the token count and the first LEAD tokens lead to a leaf. Inside a leaf, lines of LONG tokens
-or more are generalised: the tokens after the lead form SEGMENTS runs, lines of a leaf that
-have a run in common meet in its bucket, and a line whose tokens agree with the bucket's
-earliest line in a share of SIMILAR positions or more takes that line's template (the
-positions that differ are the variable fields). A line is compared only with its buckets'
-earliest lines, never with all others.
+or more are generalised: the tokens after the lead form RUNS runs, lines of a leaf that have a
+run in common meet in its bucket, and a line that agrees with the bucket's earliest line in
+EQUAL_RUNS runs or more takes that line's template (the runs that differ are the variable
+fields). A line is compared only with its buckets' earliest lines, never with all others.
 
 A template found in MIN_DOCS documents or more is recurring: its lines are dropped from every
 document except the one with the smallest doc_id that has it, so that one copy of a repeated
 passage stays. Counts cover all documents.
 
-One pass over the texts writes ids and hashes of tokens to the shared folder; templates are
+One pass over the texts writes ids and hashes of runs to the shared folder; templates are
 64-bit hashes of masked lines. Counts are aggregated before they are shuffled, and the lines'
 joins have one row for each template on their other side, so a template that a third of all
 lines share is split like any skewed join.
@@ -33,9 +32,11 @@ from .common import materialize, table, words_of
 MIN_DOCS = 5
 MIN_TOKENS = 3
 LEAD = 2
-LONG = 8
-SEGMENTS = 4
-SIMILAR = 0.8
+LONG = 10
+RUNS = 8
+EQUAL_RUNS = 6
+#: Leaves (one long each) are broadcast up to this number.
+BROADCAST_LEAVES = 500_000
 
 WILDCARD = "<*>"
 VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
@@ -46,38 +47,40 @@ def masked(line: Column) -> Column:
 
 
 def parse(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, row (a hash of the text), pos, n, line, leaf and tokens of every line that may be dropped."""
+    """doc_id, row (a hash of the text), pos, line, leaf and runs of every line that may be dropped."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row"), F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "raw"))
     split = rows.select("doc_id", "row", "pos", words_of(masked(F.col("raw"))).alias("w"))
+    rest = F.size("w") - LEAD
+    edges = [F.floor(rest * k / RUNS).cast("int") for k in range(RUNS + 1)]
+    runs = F.array(*(F.hash(F.slice("w", edges[k] + LEAD + 1, edges[k + 1] - edges[k])) for k in range(RUNS)))
     return split.filter(F.size("w") >= MIN_TOKENS).select(
         "doc_id",
         "row",
         "pos",
-        F.size("w").alias("n"),
         F.xxhash64("w").alias("line"),
-        F.xxhash64(F.size("w"), F.slice("w", 1, LEAD)).alias("leaf"),
-        F.when(F.size("w") >= LONG, F.transform("w", lambda x: F.hash(x))).alias("tokens"),
+        F.when(F.size("w") >= LONG, F.xxhash64(F.size("w"), F.slice("w", 1, LEAD))).alias("leaf"),
+        F.when(F.size("w") >= LONG, runs).alias("runs"),
     )
 
 
 def generalise(lines: DataFrame, min_docs: int) -> DataFrame:
     """line, template: the lines that take the template of an earlier line."""
-    leaves = lines.filter(F.col("n") >= LONG).groupBy("leaf").agg(F.count(F.lit(1)).alias("c"), F.min("line").alias("a"), F.max("line").alias("b"))
-    leaves = leaves.filter((F.col("c") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf")
+    leaves = lines.filter("leaf IS NOT NULL").groupBy("leaf").agg(F.count(F.lit(1)).alias("c"), F.min("line").alias("a"), F.max("line").alias("b"))
+    leaves = materialize(leaves.filter((F.col("c") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf"), "lines-leaves")
+    known = F.broadcast(leaves) if leaves.count() <= BROADCAST_LEAVES else leaves
     distinct = (
-        lines.filter((F.col("n") >= LONG) & F.col("doc_id").isNotNull())
-        .join(leaves, "leaf", "left_semi")
+        lines.filter(F.col("doc_id").isNotNull())
+        .join(known, "leaf", "left_semi")
         .groupBy("line")
-        .agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.first("leaf").alias("leaf"), F.first("tokens").alias("tokens"))
+        .agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.first("leaf").alias("leaf"), F.first("runs").alias("runs"))
     )
-    rest = F.size("tokens") - LEAD
-    edges = [F.floor(rest * s / SEGMENTS).cast("int") for s in range(SEGMENTS + 1)]
-    keys = [F.xxhash64("leaf", F.lit(s), F.slice("tokens", edges[s] + LEAD + 1, edges[s + 1] - edges[s])) for s in range(SEGMENTS)]
-    buckets = distinct.select("line", "at", "tokens", F.explode(F.array(*keys)).alias("bucket"))
-    first = buckets.groupBy("bucket").agg(F.min_by(F.struct("at", "line", "tokens"), F.struct("at", "line")).alias("first"), F.count(F.lit(1)).alias("c"))
+    distinct = materialize(distinct, "lines-distinct")
+    keys = [F.xxhash64("leaf", F.lit(k), F.get("runs", F.lit(k))) for k in range(RUNS)]
+    buckets = distinct.select("line", "at", "runs", F.explode(F.array(*keys)).alias("bucket"))
+    first = buckets.groupBy("bucket").agg(F.min_by(F.struct("at", "line", "runs"), F.struct("at", "line")).alias("first"), F.count(F.lit(1)).alias("c"))
     met = buckets.join(first.filter("c > 1").select("bucket", "first"), "bucket")
-    equal = F.aggregate(F.zip_with("tokens", "first.tokens", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    near = met.filter(equal >= F.size("tokens") * SIMILAR).groupBy("line").agg(F.min(F.struct("first.at", "first.line")).alias("first"))
+    equal = sum(((F.get("runs", F.lit(k)) == F.get("first.runs", F.lit(k))).cast("int") for k in range(RUNS)), F.lit(0))
+    near = met.filter(equal >= EQUAL_RUNS).groupBy("line").agg(F.min(F.struct("first.at", "first.line")).alias("first"))
     near = materialize(near.select("line", F.col("first.line").alias("template")).filter("line <> template"), "lines-templates")
     # The earliest line may itself have taken an earlier template.
     onward = near.select(F.col("line").alias("template"), F.col("template").alias("earlier"))
@@ -127,13 +130,13 @@ WITH raw AS (
 ), firsts AS (
   SELECT w, n, head, min(struct_pack(d := doc_id, p := pos)) AS spot FROM lines SEMI JOIN leaves USING (n, head) GROUP BY w, n, head
 ), buckets AS (
-  SELECT w, n, head, spot, seg, w[{LEAD} + 1 + ((n - {LEAD}) * seg // {SEGMENTS}) : {LEAD} + ((n - {LEAD}) * (seg + 1) // {SEGMENTS})] AS part
-  FROM firsts, range({SEGMENTS}) AS r(seg)
+  SELECT w, n, head, spot, seg, w[{LEAD} + 1 + ((n - {LEAD}) * seg // {RUNS}) : {LEAD} + ((n - {LEAD}) * (seg + 1) // {RUNS})] AS part
+  FROM firsts, range({RUNS}) AS r(seg)
 ), earliest AS (
   SELECT n, head, seg, part, min(spot) AS spot, arg_min(w, spot) AS founder FROM buckets GROUP BY n, head, seg, part HAVING count(*) > 1
 ), near AS (
   SELECT b.w, arg_min(e.founder, e.spot) AS template FROM buckets b JOIN earliest e USING (n, head, seg, part)
-  WHERE list_sum(list_transform(list_zip(b.w, e.founder), lambda z: CASE WHEN z[1] = z[2] THEN 1 ELSE 0 END)) >= b.n * {SIMILAR} GROUP BY b.w
+  WHERE list_sum(list_transform(range({RUNS}), lambda k: CASE WHEN b.w[{LEAD} + 1 + ((b.n - {LEAD}) * k // {RUNS}) : {LEAD} + ((b.n - {LEAD}) * (k + 1) // {RUNS})] = e.founder[{LEAD} + 1 + ((b.n - {LEAD}) * k // {RUNS}) : {LEAD} + ((b.n - {LEAD}) * (k + 1) // {RUNS})] THEN 1 ELSE 0 END)) >= {EQUAL_RUNS} GROUP BY b.w
 ), templates AS (
   SELECT a.w, coalesce(b.template, a.template) AS template FROM near a LEFT JOIN near b ON a.template = b.w AND b.template <> b.w WHERE a.template <> a.w
 ), keyed AS (
