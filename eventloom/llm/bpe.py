@@ -8,7 +8,9 @@ in time proportional to the pre-token's length times the longest token's.
 
 Defined results: null and empty texts have no tokens and decode to the empty string; repeated
 rows give repeated result rows; an empty table gives an empty result; columns other than the
-id and the text are ignored. Texts are encoded whole, whatever their length.
+id and the text are ignored. Texts are encoded whole, whatever their length. Letters, numbers
+and lower case follow Python's Unicode tables; a character that only a later version of
+Unicode knows may be split otherwise than by the library.
 """
 
 from __future__ import annotations
