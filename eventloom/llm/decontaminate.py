@@ -8,8 +8,8 @@ alignment. No match within the budget is lost.
 
 Both sides are compared in lower case with runs of white space as one space; results are in
 code points of the whole text. The items are a query set: they are sent to the tasks in
-blocks of ITEM_BLOCK, each of which is one pass over the texts, so what is broadcast is
-bounded however many items there are. Texts are read in overlapping pieces, so memory is
+blocks of about ITEM_BLOCK items or ITEM_BLOCK_CHARS characters, each of which is one pass over
+the texts, so what is broadcast is bounded however many items there are. Texts are read in overlapping pieces, so memory is
 bounded however long they are.
 
 Defined results: one row for each text and item that it contains (the match with the fewest
@@ -34,7 +34,7 @@ Q = 8
 #: Edits allowed for each character of an item.
 EDIT_RATE = 0.1
 MIN_ITEM = 30
-ITEM_BLOCK = 20_000
+ITEM_BLOCK, ITEM_BLOCK_CHARS = 20_000, 4_000_000
 #: Code points that are searched at a time, over texts joined together.
 PIECE = 1 << 20
 FILTER_BITS = 22
@@ -93,7 +93,10 @@ class Index:
         self.least = self.length - Q + 1 - self.budget * Q
         self.width = self.budget + 1
         self.longest = int(self.length.max(initial=0))
-        self.reach = self.longest + 4 * int(self.width.max(initial=1))
+        widest = int(self.width.max(initial=1))
+        self.reach = self.longest + 4 * widest
+        # No match reaches over this much foreign text, and matches in two texts are further apart than a band.
+        self.gap = widest + Q
         grams = [gram_hashes(p) for p in self.points]
         every = np.concatenate([np.zeros(0, np.uint64), *grams])
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams]).astype(np.int64)
@@ -214,7 +217,7 @@ class Index:
         def flush():
             if not pieces:
                 return
-            gap = np.full(self.reach, OUTSIDE, np.uint32)
+            gap = np.full(self.gap, OUTSIDE, np.uint32)
             joined = np.concatenate([x for p in pieces for x in (p[1], gap)])
             starts = np.cumsum([0, *(len(p[1]) + len(gap) for p in pieces)])
             for edits, start, end, item in self.matches(joined):
@@ -234,7 +237,7 @@ class Index:
             for a in range(0, max(1, len(points) - self.reach), PIECE):
                 some = slice(a, a + PIECE + self.reach)
                 pieces.append((k, points[some], at[some]))
-                total += len(points[some]) + self.reach
+                total += len(points[some]) + self.gap
                 if total >= PIECE:
                     flush()
                     pieces, total = [], 0
@@ -246,7 +249,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """doc_id, item_id, start, end, edits: one row for each text and item that it contains."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).filter("text IS NOT NULL")
-    blocks = max(1, -(-items.count() // item_block))
+    size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
+    blocks = max(1, -(-size.n // item_block), -(-size.chars // ITEM_BLOCK_CHARS))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = None
     for block in range(blocks):

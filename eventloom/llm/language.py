@@ -7,7 +7,7 @@ the bit separates its two sides, and chooses the nearest codeword. The gap betwe
 nearest codewords gives the score and flags ambiguous texts.
 
 Learning counts n-grams per language over all labelled texts outside the held-out quarter:
-each task sends at most one row per language and n-gram bucket, and the driver receives at
+each task sends rows per language and n-gram bucket, and the driver receives at
 most MAX_LANGUAGES times BUCKETS integers, whatever the number of texts. Counts are sums of
 integers, so the model does not depend on the order of rows.
 
@@ -35,6 +35,8 @@ BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 #: The languages with the most n-grams that are learned, a bound on the model.
 MAX_LANGUAGES = 256
+#: Languages whose counts a task holds at a time.
+HELD_LANGUAGES = 128
 #: Up to this number of languages every split into two sides is a bit.
 EXHAUSTIVE = 6
 #: Texts whose nearest codewords are closer than this are flagged.
@@ -123,17 +125,22 @@ class Model:
 def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model:
     """Fit on labelled rows outside the held-out quarter."""
 
+    def as_batches(sums):
+        for lang, of in sums.items():
+            at = np.flatnonzero(of)
+            yield pa.record_batch([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(of[at])], names=["lang", "bucket", "n"])
+
     def count(batches):
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found, _ = grams(text.as_py())
                 if lang not in sums:
+                    if len(sums) == HELD_LANGUAGES:
+                        yield from as_batches(sums)
+                        sums.clear()
                     sums[lang] = np.zeros(BUCKETS, np.int64)
-                sums[lang] += np.bincount(found, minlength=BUCKETS)
-        for lang, of in sums.items():
-            at = np.flatnonzero(of)
-            yield pa.record_batch([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(of[at])], names=["lang", "bucket", "n"])
+                sums[lang] += np.bincount(grams(text.as_py())[0], minlength=BUCKETS)
+        yield from as_batches(sums)
 
     known = docs.filter(~held_out(id_col) & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counted = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInArrow(count, "lang string, bucket int, n long")
