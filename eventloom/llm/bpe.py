@@ -24,6 +24,7 @@ import sys
 import unicodedata
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +34,10 @@ from .common import table
 VOCABULARY = "word_bpe_49k.json"
 #: Stands for the word-end suffix, as one character (private use).
 END = ""
-#: Pre-tokens, and pairs of tokens, that a worker remembers. Beyond, its memory starts afresh.
-REMEMBERED, REMEMBERED_PAIRS = 250_000, 400_000
+#: Pre-tokens that each half of a worker's memory holds, and pairs of tokens that it remembers.
+REMEMBERED, REMEMBERED_PAIRS = 80_000, 200_000
+#: Texts whose ids are held at a time.
+SLICE = 128
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -107,6 +110,7 @@ class Encoder:
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
         self.bytes = byte_characters()
         self.known: dict[str, tuple[str, str]] = {}
+        self.before: dict[str, tuple[str, str]] = {}
         self.apart: dict[int, bool] = {}
 
     def edge(self, token: str, side: int) -> list[tuple[str, int]]:
@@ -213,16 +217,23 @@ class Encoder:
             for word in split(part.lower()):
                 piece = known.get(word)
                 if piece is None:
-                    piece = self.piece(word)
-                    if len(known) > REMEMBERED:
-                        known.clear()
+                    piece = self.before.get(word) or self.piece(word)
                     if len(word) < 64:
                         known[word] = piece
+                    if len(known) > REMEMBERED:  # what is used again moves on from the older half
+                        self.before, known = known, {}
+                        self.known = known
                 found.append(piece)
         return found
 
+    def encode_both(self, text: str) -> tuple[np.ndarray, str]:
+        """Ids and decoding of a text."""
+        found = self.pieces(text)
+        ids = np.array(" ".join([p[0] for p in found]).split(), np.int32)
+        return ids, " ".join([p[1] for p in found])
+
     def encode(self, text: str) -> list[int]:
-        return [int(i) for ids, _ in self.pieces(text) for i in ids.split(" ")]
+        return self.encode_both(text)[0].tolist()
 
     def digest(self, text: str) -> tuple[int, str, str]:
         found = self.pieces(text)
@@ -244,8 +255,12 @@ def encode(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id
     def run(batches):
         model = encoder(content)
         for batch in batches:
-            ids = [model.encode(t or "") for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([model.decode(i) for i in ids], pa.string())], names=["doc_id", "ids", "decoded"])
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                both = [model.encode_both(t.as_py() or "") for t in part.column(1)]
+                offsets = np.cumsum([0, *(len(ids) for ids, _ in both)], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([ids for ids, _ in both])))
+                yield pa.record_batch([part.column(0), ids, pa.array([text for _, text in both], pa.string())], names=["doc_id", "ids", "decoded"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
