@@ -35,8 +35,8 @@ LEAD = 2
 LONG = 10
 RUNS = 8
 EQUAL_RUNS = 6
-#: Leaves (one long each) are broadcast up to this number.
-BROADCAST_LEAVES = 500_000
+#: Leaves and templates (one or two longs each) are broadcast up to this number, 8 MB.
+BROADCAST_HASHES = 500_000
 
 WILDCARD = "<*>"
 VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
@@ -72,11 +72,19 @@ def parse(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def hashes(frame: DataFrame, label: str) -> DataFrame:
+    """A written table of hashes, to be broadcast if it has BROADCAST_HASHES rows or fewer.
+
+    Beyond, it is joined by a shuffle of both sides, whose hot partitions are split at run time.
+    """
+    written = materialize(frame, label)
+    return F.broadcast(written) if written.count() <= BROADCAST_HASHES else written
+
+
 def generalise(lines: DataFrame, min_docs: int) -> DataFrame:
     """line, template: the lines that take the template of an earlier line."""
     leaves = lines.filter("leaf IS NOT NULL").groupBy("leaf").agg(F.count(F.lit(1)).alias("c"), F.min("line").alias("a"), F.max("line").alias("b"))
-    leaves = materialize(leaves.filter((F.col("c") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf"), "lines-leaves")
-    known = F.broadcast(leaves) if leaves.count() <= BROADCAST_LEAVES else leaves
+    known = hashes(leaves.filter((F.col("c") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf"), "lines-leaves")
     distinct = (
         lines.filter(F.col("doc_id").isNotNull())
         .join(known, "leaf", "left_semi")
@@ -93,7 +101,7 @@ def generalise(lines: DataFrame, min_docs: int) -> DataFrame:
     near = materialize(near.select("line", F.col("first.line").alias("template")).filter("line <> template"), "lines-templates")
     # The earliest line may itself have taken an earlier template.
     onward = near.select(F.col("line").alias("template"), F.col("template").alias("earlier"))
-    return near.join(onward, "template", "left").select("line", F.coalesce("earlier", "template").alias("template"))
+    return hashes(near.join(onward, "template", "left").select("line", F.coalesce("earlier", "template").alias("template")), "lines-generalised")
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
@@ -102,7 +110,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     templates = generalise(lines, min_docs)
     slim = lines.select("doc_id", "row", "pos", "line").join(templates, "line", "left").withColumn("template", F.coalesce("template", "line")).drop("line")
     recurring = slim.groupBy("template").agg(F.count_distinct("doc_id").alias("docs"), F.min("doc_id").alias("keeper")).filter(F.col("docs") >= min_docs)
-    found = slim.join(recurring.select("template", "keeper"), "template").filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    found = slim.join(hashes(recurring.select("template", "keeper"), "lines-recurring"), "template").filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     return found.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("drops"))
 
 
