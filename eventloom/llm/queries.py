@@ -10,6 +10,7 @@ from .bpe import op10_bpe
 from .decontaminate import op7_decontaminate
 from .language import op5_language
 from .lines import OP2_SQL, op2_lines
+from .packing import op9_packing
 from .pages import op8_pages
 from .pii import op3_pii
 from .quality import op1_quality
@@ -33,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_secrets": op6_secrets,
         "op7_decontaminate": op7_decontaminate,
         "op8_pages": op8_pages,
+        "op9_packing": op9_packing,
         "op10_bpe": op10_bpe,
         "pipeline": pipeline,
     }
