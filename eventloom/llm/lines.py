@@ -17,9 +17,10 @@ joins have one row for each template on their other side, so a template that a t
 lines share is split like any skewed join.
 
 Defined results: one row for each input row, with its lines in order; null texts stay null and
-have no lines; lines of fewer than MIN_TOKENS tokens are always kept; a null doc_id counts as
-no document and keeps no first copy; repeated rows are one document; an empty table gives an
-empty result; other columns may have any name.
+have no lines; lines of fewer than MIN_TOKENS tokens are always kept by op2_lines and its SQL twin
+(the pipeline parses every line with a token); a null doc_id counts as no document and keeps no
+first copy; repeated rows are one document; an empty table gives an empty result; other columns
+may have any name.
 """
 
 from __future__ import annotations
@@ -104,9 +105,9 @@ def generalise(lines: DataFrame, min_docs: int) -> DataFrame:
     return hashes(near.join(onward, "template", "left").select("line", F.coalesce("earlier", "template").alias("template")), "lines-generalised")
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """doc_id, row, drops: the places of the lines to drop, for documents that have some."""
-    lines = materialize(parse(docs, id_col, text_col), "lines-parsed").filter(F.col("n") >= MIN_TOKENS)
+    lines = materialize(parse(docs, id_col, text_col), "lines-parsed").filter(F.col("n") >= min_tokens)
     templates = generalise(lines, min_docs)
     slim = lines.select("doc_id", "row", "pos", "line").join(templates, "line", "left").withColumn("template", F.coalesce("template", "line")).drop("line")
     recurring = slim.groupBy("template").agg(F.count_distinct("doc_id").alias("docs"), F.min("doc_id").alias("keeper")).filter(F.col("docs") >= min_docs)
@@ -114,9 +115,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return found.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("drops"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """The columns of `docs` as c_0, c_1 and so on, with kept_text, n_lines and n_dropped."""
-    drops = dropped_lines(docs, id_col, text_col, min_docs).select(F.col("doc_id").alias("d_id"), F.col("row").alias("d_row"), "drops")
+    drops = dropped_lines(docs, id_col, text_col, min_docs, min_tokens).select(F.col("doc_id").alias("d_id"), F.col("row").alias("d_row"), "drops")
     rows = docs.select(*(F.col(f"`{c}`").alias(f"c_{i}") for i, c in enumerate(docs.columns)))
     doc_id, text = (F.col(f"c_{docs.columns.index(c)}") for c in (id_col, text_col))
     joined = rows.join(drops, doc_id.eqNullSafe(F.col("d_id")) & (F.xxhash64(text) == F.col("d_row")), "left")
