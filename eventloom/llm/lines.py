@@ -5,7 +5,9 @@ the token count and the first LEAD tokens lead to a leaf. Inside a leaf, lines o
 or more are generalised: the tokens after the lead form RUNS runs, lines of a leaf that have a
 run in common meet in its bucket, and a line that agrees with the bucket's earliest line in
 EQUAL_RUNS runs or more takes that line's template (the runs that differ are the variable
-fields). A line is compared only with its buckets' earliest lines, never with all others.
+fields). In the pipeline, a line with fewer equal runs also does if the share of equal tokens,
+position by position, is EQUAL_TOKENS or more; those tokens are read again from the texts, for
+such lines only. A line is compared only with its buckets' earliest lines, never with all others.
 
 A template found in MIN_DOCS documents or more is recurring: its lines are dropped from every
 document except the one with the smallest doc_id that has it, so that one copy of a repeated
@@ -25,6 +27,9 @@ may have any name.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +41,8 @@ LEAD = 2
 LONG = 10
 RUNS = 8
 EQUAL_RUNS = 6
+#: The share of equal tokens that makes a line with fewer equal runs take a template.
+EQUAL_TOKENS = 0.75
 #: Leaves and templates (one or two longs each) are broadcast up to this number, 8 MB.
 BROADCAST_HASHES = 500_000
 
@@ -82,8 +89,23 @@ def hashes(frame: DataFrame, label: str) -> DataFrame:
     return F.broadcast(written) if written.count() <= BROADCAST_HASHES else written
 
 
-def generalise(lines: DataFrame, min_docs: int) -> DataFrame:
-    """line, template: the lines that take the template of an earlier line."""
+def tokens_at(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
+    """line and the hashes of its tokens, for the lines of `wanted` (line, at), read again from their texts."""
+    places = wanted.groupBy(F.col("at.doc_id").alias("of")).agg(F.collect_set(F.struct("at.pos", "line")).alias("places"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.split(F.col(text_col), "\n").alias("all")).join(hashes(places, "lines-places"), F.col("doc_id") == F.col("of"))
+    rows = texts.select(F.explode("places").alias("place"), "all").select(F.col("place.line").alias("line"), F.get("all", F.col("place.pos")).alias("raw"))
+    split = rows.filter("raw IS NOT NULL").select("line", tokens_of(masked(F.col("raw"))).alias("w"))
+    # A doc_id may have several texts: only that with the line counts.
+    split = split.filter(F.xxhash64("w") == F.col("line")).select("line", F.transform("w", lambda x: F.hash(x)).alias("tokens"))
+    return materialize(split.groupBy("line").agg(F.first("tokens").alias("tokens")), "lines-tokens")
+
+
+def generalise(lines: DataFrame, min_docs: int, tokens: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """line, template: the lines that take the template of an earlier line.
+
+    With `tokens` (a reader of lines' tokens), lines with fewer equal runs, one at least, are
+    decided by their share of equal tokens.
+    """
     leaves = lines.filter("leaf IS NOT NULL").groupBy("leaf").agg(F.count(F.lit(1)).alias("c"), F.min("line").alias("a"), F.max("line").alias("b"))
     known = hashes(leaves.filter((F.col("c") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf"), "lines-leaves")
     distinct = (
@@ -98,26 +120,34 @@ def generalise(lines: DataFrame, min_docs: int) -> DataFrame:
     first = buckets.groupBy("bucket").agg(F.min_by(F.struct("at", "line", "runs"), F.struct("at", "line")).alias("first"), F.count(F.lit(1)).alias("c"))
     met = buckets.join(first.filter("c > 1").select("bucket", "first"), "bucket")
     equal = sum(((F.get("runs", F.lit(k)) == F.get("first.runs", F.lit(k))).cast("int") for k in range(RUNS)), F.lit(0))
-    near = met.filter(equal >= EQUAL_RUNS).groupBy("line").agg(F.min(F.struct("first.at", "first.line")).alias("first"))
+    near = met.filter(equal >= EQUAL_RUNS).select("line", "first.at", F.col("first.line").alias("other"))
+    if tokens:
+        pairs = met.filter(equal < EQUAL_RUNS).select("line", F.col("at").alias("own"), "first.at", F.col("first.line").alias("other")).distinct()
+        pairs = materialize(pairs, "lines-pairs")
+        found = tokens(pairs.select("line", F.col("own").alias("at")).unionByName(pairs.select(F.col("other").alias("line"), "at")).distinct())
+        both = pairs.join(found, "line").join(found.select(F.col("line").alias("other"), F.col("tokens").alias("others")), "other")
+        same = F.size(F.filter(F.zip_with("tokens", "others", lambda a, b: a == b), lambda x: x))
+        near = near.unionByName(both.filter(same >= EQUAL_TOKENS * F.size("tokens")).select("line", "at", "other"))
+    near = near.groupBy("line").agg(F.min(F.struct("at", F.col("other").alias("line"))).alias("first"))
     near = materialize(near.select("line", F.col("first.line").alias("template")).filter("line <> template"), "lines-templates")
     # The earliest line may itself have taken an earlier template.
     onward = near.select(F.col("line").alias("template"), F.col("template").alias("earlier"))
     return hashes(near.join(onward, "template", "left").select("line", F.coalesce("earlier", "template").alias("template")), "lines-generalised")
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS) -> DataFrame:
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, by_tokens: bool = False) -> DataFrame:
     """doc_id, row, drops: the places of the lines to drop, for documents that have some."""
     lines = materialize(parse(docs, id_col, text_col), "lines-parsed").filter(F.col("n") >= min_tokens)
-    templates = generalise(lines, min_docs)
+    templates = generalise(lines, min_docs, partial(tokens_at, docs, id_col, text_col) if by_tokens else None)
     slim = lines.select("doc_id", "row", "pos", "line").join(templates, "line", "left").withColumn("template", F.coalesce("template", "line")).drop("line")
     recurring = slim.groupBy("template").agg(F.count_distinct("doc_id").alias("docs"), F.min("doc_id").alias("keeper")).filter(F.col("docs") >= min_docs)
     found = slim.join(hashes(recurring.select("template", "keeper"), "lines-recurring"), "template").filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     return found.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("drops"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, by_tokens: bool = False) -> DataFrame:
     """The columns of `docs` as c_0, c_1 and so on, with kept_text, n_lines and n_dropped."""
-    drops = dropped_lines(docs, id_col, text_col, min_docs, min_tokens).select(F.col("doc_id").alias("d_id"), F.col("row").alias("d_row"), "drops")
+    drops = dropped_lines(docs, id_col, text_col, min_docs, min_tokens, by_tokens).select(F.col("doc_id").alias("d_id"), F.col("row").alias("d_row"), "drops")
     rows = docs.select(*(F.col(f"`{c}`").alias(f"c_{i}") for i, c in enumerate(docs.columns)))
     doc_id, text = (F.col(f"c_{docs.columns.index(c)}") for c in (id_col, text_col))
     joined = rows.join(drops, doc_id.eqNullSafe(F.col("d_id")) & (F.xxhash64(text) == F.col("d_row")), "left")

@@ -19,3 +19,17 @@ def test_short_lines(spark):
     own = [text_of(rng, 30) for _ in range(6)]
     got = run(spark, [f"{t}\nLes.\n\nAnd so" if i < 5 else f"{t}\n\nEnd" for i, t in enumerate(own)])
     assert got == {0: f"{own[0]}\nLes.\n\nAnd so", **{i: f"{own[i]}\n" for i in range(1, 5)}, 5: f"{own[5]}\n\nEnd"}
+
+
+def test_long_lines_with_changes_in_many_runs(spark):
+    """Four of 130 tokens differ, in four runs of eight; a line with half of its tokens changed is another."""
+    rng = random.Random(5)
+    passage = text_of(rng, 130).split(" ")
+    own, texts = [text_of(rng, 30) for _ in range(8)], []
+    for i in range(8):
+        line = [*passage]
+        for k in (10, 40, 70, 100) if 0 < i < 7 else range(12, 120, 2) if i else ():
+            line[k + i % 7] = text_of(rng, 1)
+        texts.append(f"{own[i]}\n{' '.join(line)}")
+    got = run(spark, texts)
+    assert got == {0: texts[0], **{i: own[i] for i in range(1, 7)}, 7: texts[7]}
