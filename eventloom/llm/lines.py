@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, table, words_of
+from .simhash import components
 
 MIN_DOCS = 5
 MIN_TOKENS = 3
@@ -104,7 +105,7 @@ def generalise(lines: DataFrame, min_docs: int, tokens: Callable[[DataFrame], Da
     """line, template: the lines that take the template of an earlier line.
 
     With `tokens` (a reader of lines' tokens), lines with fewer equal runs, one at least, are
-    decided by their share of equal tokens.
+    decided by their share of equal tokens, and templates are followed as far as they lead.
     """
     leaves = lines.filter("leaf IS NOT NULL").groupBy("leaf").agg(F.count(F.lit(1)).alias("c"), F.min("line").alias("a"), F.max("line").alias("b"))
     known = hashes(leaves.filter((F.col("c") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf"), "lines-leaves")
@@ -130,6 +131,9 @@ def generalise(lines: DataFrame, min_docs: int, tokens: Callable[[DataFrame], Da
         near = near.unionByName(both.filter(same >= EQUAL_TOKENS * F.size("tokens")).select("line", "at", "other"))
     near = near.groupBy("line").agg(F.min(F.struct("at", F.col("other").alias("line"))).alias("first"))
     near = materialize(near.select("line", F.col("first.line").alias("template")).filter("line <> template"), "lines-templates")
+    if tokens:
+        stars = components(near.select(F.col("line").alias("u"), F.col("template").alias("v")))
+        return hashes(stars.select(F.col("node").alias("line"), F.col("root").alias("template")), "lines-generalised")
     # The earliest line may itself have taken an earlier template.
     onward = near.select(F.col("line").alias("template"), F.col("template").alias("earlier"))
     return hashes(near.join(onward, "template", "left").select("line", F.coalesce("earlier", "template").alias("template")), "lines-generalised")

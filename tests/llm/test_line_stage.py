@@ -33,3 +33,14 @@ def test_long_lines_with_changes_in_many_runs(spark):
         texts.append(f"{own[i]}\n{' '.join(line)}")
     got = run(spark, texts)
     assert got == {0: texts[0], **{i: own[i] for i in range(1, 7)}, 7: texts[7]}
+
+
+def test_templates_are_followed_to_their_end(spark):
+    """Each line has two more runs of eight changed than the one before: five steps, one template."""
+    rng = random.Random(6)
+    line = text_of(rng, 82).split(" ")
+    own, texts = [text_of(rng, 30) for _ in range(5)], []
+    for i in range(5):
+        texts.append(f"{own[i]}\n{' '.join(line)}")
+        line = [*line[: 2 + 20 * i], *text_of(rng, 20).split(" "), *line[22 + 20 * i :]]
+    assert run(spark, texts) == {0: texts[0], **{i: own[i] for i in range(1, 5)}}
