@@ -11,7 +11,8 @@ case keeps every position; spans are given in code points of the text.
 
 Defined results: a null or empty text has no spans; repeated rows give repeated result rows;
 an empty table gives an empty result; columns other than the id and the text are ignored.
-Long texts are scanned whole, in time linear in their length.
+Long texts are scanned whole, in time linear in their length: what an expression has
+consumed is not tried again for the same kind, whether it was a secret or not.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import table
 
 #: Kinds in their order; the first three are the base kinds.
-KINDS = ("assign", "access", "hex", "github", "npm", "jwt", "private_key", "google", "slack", "stripe")
+KINDS = ("assign", "access", "hex", "github", "npm", "jwt", "private_key")
 
 ASSIGN = re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -56,6 +57,8 @@ def token_checksum(match: re.Match) -> bool:
 
 def signed_header(match: re.Match) -> bool:
     """Whether the first part is a JSON object that names an algorithm."""
+    if match.group(2) is None:
+        return False
     part = match.group(1)
     try:
         found = json.loads(base64.urlsafe_b64decode(part + "=" * (-len(part) % 4)))
@@ -80,21 +83,15 @@ def key_length(match: re.Match) -> bool:
     return len(body) == 2 + size + int.from_bytes(body[2 : 2 + size], "big")
 
 
-def accepted(match: re.Match) -> bool:
-    return True
-
-
 #: Key word (lower case) -> kind, anchored expression, validation.
 FORMATS: dict[str, tuple[str, re.Pattern, Callable[[re.Match], bool]]] = {
     **{word: ("assign", ASSIGN, lambda m: len(m.group(1)) >= 6) for word in ("password", "passwd", "secret", "token", "apikey", "api_key")},
     "akia": ("access", ACCESS, lambda m: m.end() - m.start() >= 20),
     **{f"gh{c}_": ("github", re.compile(rf"gh{c}_([A-Za-z0-9]{{36}})(?![A-Za-z0-9])"), token_checksum) for c in "pousr"},
     "npm_": ("npm", re.compile(r"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])"), token_checksum),
-    "eyj": ("jwt", re.compile(r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), signed_header),
-    "-----begin ": ("private_key", re.compile(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END (?:[A-Z]+ )?PRIVATE KEY-----"), key_length),
-    "aiza": ("google", re.compile(r"AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])"), accepted),
-    "xox": ("slack", re.compile(r"xox[abpr]-[0-9]{10,13}-[0-9]{10,13}-[A-Za-z0-9-]{10,}"), accepted),
-    "sk_live_": ("stripe", re.compile(r"sk_live_[A-Za-z0-9]{24,}"), accepted),
+    # The tail is optional: a run of characters without it is consumed, and refused.
+    "eyj": ("jwt", re.compile(r"(eyJ[A-Za-z0-9_-]*+)(\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++)?"), signed_header),
+    "-----begin ": ("private_key", re.compile(r"-----BEGIN (?:[A-Z]++ )?PRIVATE KEY-----([A-Za-z0-9+/=\s]++)-----END (?:[A-Z]++ )?PRIVATE KEY-----"), key_length),
 }
 
 
