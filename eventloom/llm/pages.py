@@ -13,7 +13,9 @@ the driver and bounded by that number.
 
 Defined results: a null, empty or textless page has the empty text and 0 characters; repeated
 rows give repeated result rows; an empty table gives an empty result; columns other than id,
-url and html are ignored. Pages are read whole, once, in time linear in their length.
+url and html are ignored. Pages are read whole, in time linear in their length however their
+tags are nested or left open: open elements are found by name, and a tag without an end is not
+scanned for one twice. Character references are decoded piece by piece, between two tags.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from bisect import bisect_left
 from functools import lru_cache
 from math import exp, log
 
@@ -35,7 +38,8 @@ LABELLED_PAGES = 300
 ROUNDS = 80
 SEED = 11
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*>", re.S)
+TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+NAME_END = re.compile(r"[\s/>]")
 OPENING = re.compile(r"</?[a-zA-Z]")
 NAMED = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
@@ -124,53 +128,150 @@ def attribute_words(attributes: str) -> tuple[str, ...]:
     return tuple(sorted(found))
 
 
+class TagEnds:
+    """Where tags of a page end that no plain expression closes, in time linear in all tags together.
+
+    A scan walks from one quote or `>` outside quotes to the next. Scans that reach the same place
+    go on alike, so the places on the way of a scan that found no end are never walked again.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.at = [m.start() for m in re.finditer("[>\"']", page)]
+        self.again = [-1] * len(self.at)  # the next place with the same character
+        last: dict[str, int] = {}
+        for i in range(len(self.at) - 1, -1, -1):
+            mark = page[self.at[i]]
+            self.again[i] = last.get(mark, -1)
+            last[mark] = i
+        self.dead = bytearray(len(self.at) + 1)
+        self.dead[-1] = 1
+        self.name_end = -1
+
+    def after_name(self, at: int) -> int:
+        """Where a name that begins at `at` ends; starts come in order."""
+        if self.name_end < at:
+            end = NAME_END.search(self.page, at)
+            self.name_end = end.start() if end else len(self.page)
+        return self.name_end
+
+    def find(self, at: int) -> int | None:
+        """The `>` that ends the attributes which begin at `at`."""
+        i, way = bisect_left(self.at, at), []
+        while not self.dead[i]:
+            if self.page[self.at[i]] == ">":
+                return self.at[i]
+            way.append(i)
+            i = self.again[i] + 1 or len(self.at)
+        for k in way:
+            self.dead[k] = 1
+        return None
+
+
+class Tags:
+    """The tags of a page, from any place on; places must not go back."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.ends: TagEnds | None = None  # made at the first tag without an end
+        self.no_declaration = len(page)  # from here on no `>` follows
+
+    def after(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, closing, name, attributes) of the next tag; comments and declarations have no name."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            at = start + 1
+            first = page[at : at + 1]
+            if page.startswith("!--", at):
+                close = page.find("-->", at + 3)
+                return start, close + 3 if close >= 0 else len(page), "", "", ""
+            if first in ("!", "?"):
+                close = page.find(">", at) if at < self.no_declaration else -1
+                if close >= 0:
+                    return start, close + 1, "", "", ""
+                self.no_declaration = min(self.no_declaration, at)
+                continue
+            begin = at + (first == "/")
+            if not OPENING.match(page, start):
+                continue
+            if self.ends is None:
+                if match := TAG.match(page, at):
+                    return start, match.end(), match[1], match[2].lower(), match[3]
+                self.ends = TagEnds(page)
+            name_end = self.ends.after_name(begin)
+            close = self.ends.find(name_end)
+            if close is not None:
+                return start, close + 1, page[at:begin], page[begin:name_end].lower(), page[name_end:close]
+        return None
+
+
+class Open:
+    """The stack of open elements, which knows where each name stands."""
+
+    def __init__(self, root: int):
+        self.names, self.nodes = ["html"], [root]
+        self.places: dict[str, list[int]] = {"html": [0]}
+
+    def __contains__(self, name: str) -> bool:
+        return bool(self.places.get(name))
+
+    def push(self, name: str, node: int) -> None:
+        self.places.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+        self.nodes.append(node)
+
+    def pop_to(self, name: str) -> None:
+        """End elements up to and with the innermost of the name."""
+        while True:
+            last = self.names.pop()
+            self.nodes.pop()
+            self.places[last].pop()
+            if last == name:
+                return
+
+    def innermost(self, names: tuple[str, ...]) -> tuple[int, str]:
+        """Place and name of the innermost open element of these names; -1 if there is none."""
+        return max((self.places[n][-1], n) if self.places.get(n) else (-1, n) for n in names)
+
+
+RAW_ENDS = {name: re.compile(rf"</{name}\b[^>]*>?", re.I) for name in RAW}
+
+
 def parse(page: str) -> Tree:
     tree = Tree()
-    stack = [tree.add(-1, "html", CONTAINER)]
-    names = ["html"]
+    stack = Open(tree.add(-1, "html", CONTAINER))
     buffer: list[str] = []
     link_depth, linked = 0, 0
 
     def end_block():
         nonlocal linked
         if buffer:
-            shown = " ".join(entities.unescape("".join(buffer)).split())
+            shown = " ".join("".join(buffer).split())
             buffer.clear()
-            if shown and "head" not in names:
-                tree.add(stack[-1], names[-1], TEXT, text=shown, links=min(linked, len(shown)))
+            if shown and "head" not in stack:
+                tree.add(stack.nodes[-1], stack.names[-1], TEXT, text=shown, links=min(linked, len(shown)))
         linked = 0
 
-    def pop_to(name: str):
-        while names[-1] != name:
-            names.pop()
-            stack.pop()
-        names.pop()
-        stack.pop()
-
     def add_text(piece: str):
+        """A reference lies within one piece: markup between two pieces ends it."""
         nonlocal linked
         if piece:
+            piece = entities.unescape(piece)
             buffer.append(piece)
             if link_depth:
                 linked += len(piece)
 
-    at = 0
-    while True:
-        match = TOKEN.search(page, at)
-        if match is None:
-            rest = page[at:]
-            broken = OPENING.search(rest)  # a tag that the page's end cuts off is no text
-            add_text(rest[: broken.start()] if broken else rest)
-            break
-        add_text(page[at : match.start()])
-        at = match.end()
-        if match[2] is None:
+    at, found = 0, Tags(page)
+    while tag := found.after(at):
+        start, end, closing, name, attributes = tag
+        add_text(page[at:start])
+        at = end
+        if not name:
             continue
-        name, closing = match[2].lower(), match[1]
         if name in RAW:
-            if not closing and not (name == "svg" and match[3].endswith("/")):
-                end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
-                at = end.end() if end else len(page)
+            if not closing and not (name == "svg" and attributes.endswith("/")):
+                ended = RAW_ENDS[name].search(page, at)
+                at = ended.end() if ended else len(page)
             continue
         if name == "br" or name == "hr":
             end_block()
@@ -182,31 +283,30 @@ def parse(page: str) -> Tree:
         elif closing:
             end_block()
             link_depth = 0
-            if name in names and name != "html":
-                pop_to(name)
-            elif name in HEADINGS and names[-1] in HEADINGS:
-                pop_to(names[-1])
+            if name in stack and name != "html":
+                stack.pop_to(name)
+            elif name in HEADINGS and stack.names[-1] in HEADINGS:
+                stack.pop_to(stack.names[-1])
         else:
             end_block()
             link_depth = 0
-            if name in ("html", "head", "body") and (name in names or (name == "body" and "head" not in names and len(names) > 1)):
+            if name in ("html", "head", "body") and (name in stack or (name == "body" and "head" not in stack and len(stack.names) > 1)):
                 continue
-            if "head" in names and name != "head":
-                pop_to("head")
-            if name in CLOSES_P and "p" in names:
-                pop_to("p")
-            if name in HEADINGS and names[-1] in HEADINGS:
-                pop_to(names[-1])
+            if "head" in stack and name != "head":
+                stack.pop_to("head")
+            if name in CLOSES_P and "p" in stack:
+                stack.pop_to("p")
+            if name in HEADINGS and stack.names[-1] in HEADINGS:
+                stack.pop_to(stack.names[-1])
             if name in ENDS:
                 ended, bounds = ENDS[name]
-                for open_name in reversed(names):
-                    if open_name in bounds:
-                        break
-                    if open_name in ended:
-                        pop_to(open_name)
-                        break
-            stack.append(tree.add(stack[-1], name, KIND.get(name, FLOW), attribute_words(match[3]) if match[3].strip() else ()))
-            names.append(name)
+                place, open_name = stack.innermost(ended)
+                if place > stack.innermost(bounds)[0]:
+                    stack.pop_to(open_name)
+            stack.push(name, tree.add(stack.nodes[-1], name, KIND.get(name, FLOW), attribute_words(attributes) if attributes.strip() else ()))
+    rest = page[at:]
+    broken = OPENING.search(rest)  # a tag that the page's end cuts off is no text
+    add_text(rest[: broken.start()] if broken else rest)
     end_block()
     describe(tree)
     return tree

@@ -1,9 +1,13 @@
 """Extraction on unseen made pages, exact inference against enumeration, and edge cases."""
 
 import random
+import re
+import time
 from itertools import product
 from math import exp
 
+import pytest
+
 from eventloom.llm import pages as P
 
 
@@ -43,6 +47,46 @@ def test_parsing():
     assert texts("<textarea>q</textarea><style>p{}") == []
 
 
+def test_references_end_with_their_piece():
+    texts = lambda page: [t for t in P.parse(page).text if t is not None]
+    assert texts("x &<b>lt;</b> y") == ["x &lt; y"]
+    assert texts("a &am<!-- -->p; b &amp;lt; c") == ["a &am p; b &lt; c".replace("am p", "amp")]
+
+
+def test_tags_in_scripts_and_broken_tags():
+    texts = lambda page: [t for t in P.parse(page).text if t is not None]
+    assert texts("<script>if (a<b && c) x=\"'</script><p title='q'>one</p><p>two") == ["one", "two"]
+    assert texts("<p>a<i title='x>b</i></p><p>c</p>") == ["a<i title='x>b", "c"]
+    assert texts("<p>a <b x='1>2' y=\">\">c</b> <! d <p>e") == ["a c e"]
+    # The same tags by the plain expression and by the table of ends.
+    rng = random.Random(3)
+    for _ in range(2000):
+        page = "".join(rng.choice(["<a ", "<b", ">", "'", '"', " ", "x", "/", "<", "</i", "<!", "="]) for _ in range(rng.randint(0, 30)))
+        plain, table = P.Tags(page), P.Tags(page)
+        table.ends = P.TagEnds(page)
+        at = 0
+        while True:
+            start = page.find("<", at)
+            match = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)|![^>]*)>").search(page, at)
+            got, other = plain.after(at), table.after(at)
+            assert got == other, page
+            assert (got and got[:2]) == (match and match.span()), page
+            if got is None:
+                break
+            at = got[1]
+
+
+@pytest.mark.parametrize("part", ["<div>", "<a ", "<a", "<a '", "<a '\"", "<!", "<p><li>", "<div><li>", "</div>", "<script>", "&lt", "<li></li><div>", "<a \"\" ", "<!--", "<svg "])
+def test_time_is_linear(part):
+    def seconds(n):
+        began = time.perf_counter()
+        P.parse(part * n)
+        return time.perf_counter() - began
+
+    seconds(1000)
+    assert min(seconds(20_000) for _ in range(3)) < 5 * min(seconds(10_000) for _ in range(3)) + 0.02
+
+
 def test_page():
     body = "<nav><ul><li><a href=x>Menu</a></li></ul></nav><div class=cookie-notice><p>We use them.</p></div><article><h1>Big news</h1><p>First &eacute; part.</p><p><b>Second\n part.<br><p>Third part of it.</article><div class=comments><p>I think so too, friends.</p></div><footer>&copy; us</footer>"
     assert P.trained().extract(f"<html><body>{body}</body></html>") == "Big news First é part. Second part. Third part of it."
