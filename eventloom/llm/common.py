@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,27 +26,70 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
+    """The folder that driver and executors share, as the session names it.
+
+    Where none is set, a local session gets a temporary one of its own; on a cluster that would
+    scatter the tables over the executors' disks, so there it is an error.
+    """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="eventloom-")
+        if not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="eventloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+#: Lists of the folders written since, for each `cleanup` under way.
+_watched: list[list[str]] = []
+
+
 def materialize(frame: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: the lineage ends here.
 
     The table survives the loss of any executor, and what follows reads it instead of
-    computing its input again.
+    computing its input again. It stays until a `cleanup` around the call ends.
     """
     spark = frame.sparkSession
     path = f"{shared_dir(spark)}/eventloom/{label}-{uuid.uuid4().hex}"
+    for made in _watched:
+        made.append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of whatever file system its path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def cleanup(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete the tables that were written inside, when it ends. What is taken off the list stays."""
+    made: list[str] = []
+    _watched.append(made)
+    try:
+        yield made
+    finally:
+        _watched.remove(made)
+        for path in made:
+            delete(spark, path)
+
+
+def slices(batch: pa.RecordBatch, column: int, rows: int = 512, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Parts of an Arrow batch with few rows and bytes of text each, one row at least: what is
+    made of them in Python stays small however large a batch is."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + size, "right"))))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate `value` once and use it many times in `body`, also inside lambdas."""
     return F.transform(F.array(value), body)[0]

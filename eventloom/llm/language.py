@@ -7,9 +7,11 @@ the bit separates its two sides, and chooses the nearest codeword. The gap betwe
 nearest codewords gives the score and flags ambiguous texts.
 
 Learning counts n-grams per language over all labelled texts outside the held-out quarter:
-each task sends rows per language and n-gram bucket, and the driver receives at
-most MAX_LANGUAGES times BUCKETS integers, whatever the number of texts. Counts are sums of
-integers, so the model does not depend on the order of rows.
+each task sends rows per language and n-gram bucket. All labels are learned, however many there
+are: codewords grow with the logarithm of their number, the counts are turned into the two sides
+of each bit bucket by bucket, in tasks, and the driver receives the labels and one row of bits
+for each of BUCKETS buckets. Counts are sums of integers, and shares are added in the order of
+labels, so the model does not depend on the order of rows.
 
 Defined results: a text that is null or has no letter is `und` with score 0; so is every text
 if nothing can be learned. A row with a null doc_id is not learned from and not held out.
@@ -28,17 +30,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, slices, table
 
 UNKNOWN = "und"
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
-#: The languages with the most n-grams that are learned, a bound on the model.
-MAX_LANGUAGES = 256
 #: Languages whose counts a task holds at a time.
 HELD_LANGUAGES = 128
 #: Up to this number of languages every split into two sides is a bit.
 EXHAUSTIVE = 6
+#: Up to this number a simplex code; beyond, random codewords of so many bits for each doubling.
+SIMPLEX, RANDOM_BITS = 64, 16
+SEED = 7
 #: Texts whose nearest codewords are closer than this are flagged.
 AMBIGUOUS = 0.2
 #: Characters scored at a time.
@@ -73,40 +76,42 @@ def codewords(n: int) -> np.ndarray:
     """A row of bits for each of n languages.
 
     Few languages: every split in two. More: the codes of a simplex of Walsh functions, whose
-    rows differ in half of all bits.
+    rows differ in half of all bits. Many: random codewords, which differ in about half of their
+    bits too, and whose number grows with the logarithm of the languages' number.
     """
     if n <= EXHAUSTIVE:
         sides = [c for k in range(1, n // 2 + 1) for c in combinations(range(n), k) if k * 2 < n or 0 in c]
         return np.array([[i in c for c in sides] for i in range(n)], bool).reshape(n, len(sides))
+    if n > SIMPLEX:
+        return np.random.default_rng(SEED).random((n, RANDOM_BITS * (n - 1).bit_length())) < 0.5
     size = 1 << (n - 1).bit_length()
     walsh = np.array([[bin(i & j).count("1") & 1 for j in range(1, size)] for i in range(n)], bool)
     return walsh[:, (walsh.any(axis=0)) & (~walsh.all(axis=0))]
 
 
 class Model:
-    """Binary classifiers and their decoding; made from counts of (language, bucket)."""
+    """Binary classifiers and their decoding.
 
-    def __init__(self, languages: list[str], counts: np.ndarray):
+    `ones` and `others` are the mean shares of each bucket (rows) over the languages of the two
+    sides of each bit (columns): every language weighs the same.
+    """
+
+    def __init__(self, languages: list[str], ones: np.ndarray, others: np.ndarray):
         self.languages = languages
         self.code = codewords(len(languages))
-        share = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True)  # every language weighs the same
-        bits = self.code.shape[1]
-        self.weights = np.zeros((BUCKETS, bits), np.float32)
-        self.bit_weight = np.ones(bits)
-        for b in range(bits):
-            ones, others = share[self.code[:, b]].mean(axis=0), share[~self.code[:, b]].mean(axis=0)
-            self.weights[:, b] = np.log(ones) - np.log(others)
-            # Expected margin of the side that is harder to tell.
-            self.bit_weight[b] = max(1e-3, min(ones @ self.weights[:, b], -(others @ self.weights[:, b])))
+        weights = np.log(ones) - np.log(others)
+        # Expected margin of the side that is harder to tell.
+        self.bit_weight = np.maximum(1e-3, np.minimum((ones * weights).sum(axis=0), -(others * weights).sum(axis=0)))
         self.bit_weight /= max(self.bit_weight.sum(), 1e-9)
+        self.weights = weights.astype(np.float32)
 
     def decode(self, margins: np.ndarray, n_grams: int) -> tuple[str, float, bool]:
         """Language, score and ambiguity from each bit's summed log odds."""
         if len(self.languages) == 1:
             return self.languages[0], 1.0, False
         mean = margins / n_grams * min(n_grams, 400) ** 0.5
-        sign = np.where(self.code, 1.0, -1.0)
-        loss = np.logaddexp(0.0, -sign * mean) @ self.bit_weight
+        zero, one = np.logaddexp(0.0, mean) * self.bit_weight, np.logaddexp(0.0, -mean) * self.bit_weight
+        loss = zero.sum() + self.code @ (one - zero)
         near = np.argsort(loss, kind="stable")
         chance = np.exp(-(loss - loss[near[0]]) * len(self.bit_weight))
         score = float(1 / chance.sum())
@@ -122,6 +127,13 @@ class Model:
         return self.decode(margins, len(found))
 
 
+def two_sides(counts: np.ndarray, total: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean shares over the two sides of each bit, for buckets (rows) counted in languages (columns)."""
+    share = (counts + 0.5) / (total + 0.5 * BUCKETS)
+    n = code.sum(axis=0)
+    return share @ code / np.maximum(n, 1), share @ ~code / np.maximum(len(code) - n, 1)
+
+
 def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model:
     """Fit on labelled rows outside the held-out quarter."""
 
@@ -132,7 +144,7 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model:
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if lang not in sums:
                     if len(sums) == HELD_LANGUAGES:
@@ -145,14 +157,40 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model:
     known = docs.filter(~held_out(id_col) & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counted = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInArrow(count, "lang string, bucket int, n long")
     counted = materialize(counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-counts")
-    largest = counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    languages = sorted(r.lang for r in largest.collect())
-    sums = np.zeros((len(languages), BUCKETS))
-    found = counted.filter(F.col("lang").isin(languages)).toArrow().to_pydict()
-    row = {lang: i for i, lang in enumerate(languages)}
-    for lang, bucket, n in zip(found["lang"], found["bucket"], found["n"], strict=True):
-        sums[row[lang], bucket] = n
-    return Model(languages, sums)
+    totals = {r.lang: r.n for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    languages = sorted(totals)
+    if not languages:
+        return Model([], np.ones((BUCKETS, 0)), np.ones((BUCKETS, 0)))
+    code, total = codewords(len(languages)), np.array([totals[x] for x in languages], np.float64)
+    row = docs.sparkSession.sparkContext.broadcast({lang: i for i, lang in enumerate(languages)})
+
+    def sides(batches):
+        """Whole buckets, one after the other -> the two sides of each bit."""
+        place, held, counts = row.value, None, np.zeros(len(total))
+
+        def finished():
+            one, other = two_sides(counts[None], total, code)
+            return pa.record_batch([pa.array([held], pa.int32()), pa.array(one.tolist()), pa.array(other.tolist())], names=["bucket", "ones", "others"])
+
+        for batch in batches:
+            for lang, bucket, n in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                if bucket != held:
+                    if held is not None:
+                        yield finished()
+                    held, counts = bucket, np.zeros(len(total))
+                counts[place[lang]] = n
+        if held is not None:
+            yield finished()
+
+    parts = min(BUCKETS, max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    found = counted.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(sides, "bucket int, ones array<double>, others array<double>")
+    found = found.toArrow()
+    at = found["bucket"].to_numpy()
+    ones, others = (np.repeat(x, BUCKETS, axis=0) for x in two_sides(np.zeros((1, len(total))), total, code))
+    for name, side in (("ones", ones), ("others", others)):
+        if len(at):
+            side[at] = found[name].combine_chunks().flatten().to_numpy().reshape(len(at), -1)
+    return Model(languages, ones, others)
 
 
 def held_out(id_col: str):
@@ -168,7 +206,7 @@ def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id"
 
     def run(batches):
         fitted = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, at)):
             found = [fitted.predict(t.as_py()) for t in batch.column(at)]
             columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.record_batch([*batch.columns, *columns], names=[*batch.schema.names, "lang_pred", "score", "ambiguous"])

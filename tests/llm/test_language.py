@@ -1,6 +1,7 @@
 """Codes, held-out accuracy and edge cases of language identification."""
 
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -24,6 +25,60 @@ def test_codewords_differ():
         code = L.codewords(n)
         distance = (code[:, None] != code[None]).sum(axis=2) + np.eye(n) * 1000
         assert distance.min() >= max(1, code.shape[1] // 3)
+    code = L.codewords(500)
+    distance = (code[:, None] != code[None]).sum(axis=2) + np.eye(500) * 1000
+    assert distance.min() >= code.shape[1] // 4
+
+
+def plain_model(rows):
+    """Counts in Python, sides by plain means, decoding by the definition of the loss."""
+    counts = {}
+    for i, text, lang in rows:
+        if lang is not None and text is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            counts.setdefault(lang, np.zeros(L.BUCKETS))
+            for g in L.grams(text)[0].tolist():
+                counts[lang][g] += 1
+    names = sorted(counts)
+    share = np.array([(counts[x] + 0.5) / (counts[x] + 0.5).sum() for x in names])
+    code = L.codewords(len(names))
+    ones = np.array([np.mean(share[c], axis=0) for c in code.T]).T
+    others = np.array([np.mean(share[~c], axis=0) for c in code.T]).T
+    weights = np.log(ones) - np.log(others)
+    part = np.array([max(1e-3, min(ones[:, b] @ weights[:, b], -(others[:, b] @ weights[:, b]))) for b in range(code.shape[1])])
+    part /= part.sum()
+
+    def predict(text):
+        found, lettered = L.grams(text or "")
+        if not lettered:
+            return "und"
+        mean = weights[found].sum(axis=0) / len(found) * min(len(found), 400) ** 0.5
+        loss = [sum(w * np.logaddexp(0, -m if bit else m) for w, m, bit in zip(part, mean, word, strict=True)) for word in code]
+        return names[int(np.argmin(loss))]
+
+    return names, ones, others, predict
+
+
+def test_the_model_and_decoding_equal_a_plain_version(spark):
+    rows = corpus(random.Random(14), 200) + [(900, None, "aa"), (901, "12", "bb"), (902, "kato", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, ones, others, predict = plain_model(rows)
+    model = L.learn(docs, "doc_id", "text", "lang")
+    assert model.languages == names
+    assert np.abs(model.weights - (np.log(ones) - np.log(others))).max() < 1e-4
+    got = {r.doc_id: r.lang_pred for r in L.predict(docs).collect()}
+    assert got == {i: predict(text) for i, text, _ in rows}
+
+
+def test_many_labels_are_all_learned(spark):
+    """300 labels, each with an alphabet and syllables of its own."""
+    rng, rows = random.Random(8), []
+    for k in range(300):
+        own = ["".join(chr(0x4E00 + 20 * k + rng.randrange(20)) for _ in range(2)) for _ in range(8)]
+        rows += [(len(rows) + j, " ".join(rng.choice(own) for _ in range(40)), f"l{k:03d}") for j in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = L.predict(docs).collect()
+    assert len({r.lang_pred for r in got}) > 290
+    assert np.mean([r.lang_pred == rows[r.doc_id][2] for r in got if r.held_out]) > 0.95
 
 
 def test_held_out_accuracy_and_what_is_learned(spark):
