@@ -4,7 +4,9 @@ Every language has a codeword. For each bit, a binary classifier over hashed cha
 n-grams (one, two and three characters, words set off by one space) tells the languages
 whose bit is one from the others; decoding adds the loss of every bit, weighted by how well
 the bit separates its two sides, and chooses the nearest codeword. The gap between the two
-nearest codewords gives the score and flags ambiguous texts.
+nearest codewords gives the score and flags ambiguous texts. One more bit tells all languages
+from noise (every n-gram equally likely): a text whose margin on it is nearer to noise's end
+than to what texts of the languages have on average is in none of them.
 
 Learning counts n-grams per language over all labelled texts outside the held-out quarter:
 each task sends rows per language and n-gram bucket. All labels are learned, however many there
@@ -44,6 +46,8 @@ SIMPLEX, RANDOM_BITS = 64, 16
 SEED = 7
 #: Texts whose nearest codewords are closer than this are flagged.
 AMBIGUOUS = 0.2
+#: Share of the languages' own expected margin over noise that a text must have.
+LEAST_FIT = 0.5
 #: Characters scored at a time.
 CHUNK = 1 << 18
 
@@ -93,15 +97,18 @@ class Model:
     """Binary classifiers and their decoding.
 
     `ones` and `others` are the mean shares of each bucket (rows) over the languages of the two
-    sides of each bit (columns): every language weighs the same.
+    sides of each bit (columns): every language weighs the same. In the last column all languages
+    are on one side and noise is on the other.
     """
 
     def __init__(self, languages: list[str], ones: np.ndarray, others: np.ndarray):
         self.languages = languages
         self.code = codewords(len(languages))
         weights = np.log(ones) - np.log(others)
+        expected = (ones * weights).sum(axis=0)
+        self.least_fit = LEAST_FIT * expected[-1]
         # Expected margin of the side that is harder to tell.
-        self.bit_weight = np.maximum(1e-3, np.minimum((ones * weights).sum(axis=0), -(others * weights).sum(axis=0)))
+        self.bit_weight = np.maximum(1e-3, np.minimum(expected, -(others * weights).sum(axis=0)))[:-1]
         self.bit_weight /= max(self.bit_weight.sum(), 1e-9)
         self.weights = weights.astype(np.float32)
 
@@ -117,21 +124,23 @@ class Model:
         score = float(1 / chance.sum())
         return self.languages[near[0]], score, bool(score - chance[near[1]] * score < AMBIGUOUS)
 
-    def predict(self, text: str | None) -> tuple[str, float, bool]:
+    def predict(self, text: str | None) -> tuple[str, float, bool, bool]:
+        """Language, score, whether two codewords are about as near, and whether the text fits no language."""
         found, lettered = grams(text or "")
         if not lettered or not self.languages:
-            return UNKNOWN, 0.0, True
-        margins = np.zeros(self.code.shape[1])
+            return UNKNOWN, 0.0, True, True
+        margins = np.zeros(self.weights.shape[1])
         for at in range(0, len(found), CHUNK):
             margins += self.weights[found[at : at + CHUNK]].sum(axis=0, dtype=np.float64)
-        return self.decode(margins, len(found))
+        return *self.decode(margins[:-1], len(found)), bool(margins[-1] < self.least_fit * len(found))
 
 
 def two_sides(counts: np.ndarray, total: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Mean shares over the two sides of each bit, for buckets (rows) counted in languages (columns)."""
     share = (counts + 0.5) / (total + 0.5 * BUCKETS)
     n = code.sum(axis=0)
-    return share @ code / np.maximum(n, 1), share @ ~code / np.maximum(len(code) - n, 1)
+    ones = np.column_stack((share @ code / np.maximum(n, 1), share.mean(axis=1)))
+    return ones, np.column_stack((share @ ~code / np.maximum(len(code) - n, 1), np.full(len(share), 1 / BUCKETS)))
 
 
 def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model:
@@ -160,7 +169,7 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model:
     totals = {r.lang: r.n for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
     if not languages:
-        return Model([], np.ones((BUCKETS, 0)), np.ones((BUCKETS, 0)))
+        return Model([], np.ones((BUCKETS, 1)), np.ones((BUCKETS, 1)))
     code, total = codewords(len(languages)), np.array([totals[x] for x in languages], np.float64)
     row = docs.sparkSession.sparkContext.broadcast({lang: i for i, lang in enumerate(languages)})
 
@@ -198,7 +207,7 @@ def held_out(id_col: str):
 
 
 def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The columns of `docs` as c_0, c_1 and so on, and lang_pred, score and ambiguous: one row for each row."""
+    """The columns of `docs` as c_0, c_1 and so on, and lang_pred, score, ambiguous and unfit: one row for each row."""
     model = model or learn(docs, id_col, text_col, lang_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*(F.col(f"`{c}`").alias(f"c_{i}") for i, c in enumerate(docs.columns)))
@@ -208,18 +217,18 @@ def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id"
         fitted = shared.value
         for batch in (part for whole in batches for part in slices(whole, at)):
             found = [fitted.predict(t.as_py()) for t in batch.column(at)]
-            columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
-            yield pa.record_batch([*batch.columns, *columns], names=[*batch.schema.names, "lang_pred", "score", "ambiguous"])
+            columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.bool_(), pa.bool_()))]
+            yield pa.record_batch([*batch.columns, *columns], names=[*batch.schema.names, "lang_pred", "score", "ambiguous", "unfit"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double, ambiguous boolean")
+    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double, ambiguous boolean, unfit boolean")
 
 
 def predict(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """doc_id, held_out, lang_pred, score and ambiguous for each row of `docs`; only id and text reach the classifier."""
+    """doc_id, held_out, lang_pred, score, ambiguous and unfit for each row of `docs`; only id and text reach the classifier."""
     model = model or learn(docs, id_col, text_col, lang_col)
     named = identify(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), model)
-    return named.select(F.col("c_0").alias("doc_id"), held_out("c_0").alias("held_out"), "lang_pred", "score", "ambiguous")
+    return named.select(F.col("c_0").alias("doc_id"), held_out("c_0").alias("held_out"), "lang_pred", "score", "ambiguous", "unfit")
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:

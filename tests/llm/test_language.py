@@ -64,7 +64,7 @@ def test_the_model_and_decoding_equal_a_plain_version(spark):
     names, ones, others, predict = plain_model(rows)
     model = L.learn(docs, "doc_id", "text", "lang")
     assert model.languages == names
-    assert np.abs(model.weights - (np.log(ones) - np.log(others))).max() < 1e-4
+    assert np.abs(model.weights[:, :-1] - (np.log(ones) - np.log(others))).max() < 1e-4
     got = {r.doc_id: r.lang_pred for r in L.predict(docs).collect()}
     assert got == {i: predict(text) for i, text, _ in rows}
 
@@ -101,4 +101,13 @@ def test_edges(spark):
     assert all((r.lang_pred == "und") == (r.doc_id in (1, 2, 3)) and 0 <= r.score <= 1 for r in got)
     assert L.predict(docs.limit(0)).count() == 0
     assert {r.lang_pred for r in L.predict(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
-    assert L.identify(docs).columns == ["c_0", "c_1", "c_2", "c_3", "lang_pred", "score", "ambiguous"]
+    assert L.identify(docs).columns == ["c_0", "c_1", "c_2", "c_3", "lang_pred", "score", "ambiguous", "unfit"]
+
+
+def test_what_fits_no_language(spark):
+    rng, rows = random.Random(6), corpus(random.Random(5), 400)
+    for i, alphabet in enumerate(["αβγδεζηθικλμν", "bcdfghjklmnpqrstvwxyz", "дежзийклмн"] * 10):
+        rows.append((1000 + i, " ".join("".join(rng.choice(alphabet) for _ in range(6)) for _ in range(rng.randint(2, 80))), None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    unfit = {r.doc_id for r in L.predict(docs).collect() if r.unfit}
+    assert unfit == set(range(1000, 1030))
