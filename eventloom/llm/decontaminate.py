@@ -4,18 +4,24 @@ A passage within k edits of an item of m characters shares at least m - q + 1 -
 item's q-grams with it, on diagonals that differ by k at most. Hits of the items' q-grams
 are counted in overlapping bands of 2 (k + 1) diagonals; bands with fewer hits than the bound
 cannot hold a match and are dropped, and the regions that remain are verified by banded
-alignment. No match within the budget is lost.
+alignment. No match within the budget is lost: q is Q, or less for items so short that the
+bound would not be positive; items of one q are searched together.
+
+Items of EDITED characters or more may differ by EDIT_RATE of their length. Shorter ones are
+found as they are and as whole words only, because a short string within others proves nothing.
 
 Both sides are compared in lower case with runs of white space as one space; results are in
-code points of the whole text. The items are a query set: they are sent to the tasks in
-blocks of about ITEM_BLOCK items or ITEM_BLOCK_CHARS characters, each of which is one pass over
-the texts, so what is broadcast is bounded however many items there are. Texts are read in overlapping pieces, so memory is
-bounded however long they are.
+code points of the whole text. The items' different texts are a query set: they are sent to the
+tasks in blocks of about ITEM_BLOCK items or ITEM_BLOCK_CHARS characters, each of which is one
+pass over the texts. With several blocks, a block's matches are written before the next block
+is sent, so no more than one is held at a time. Texts are read in overlapping pieces, and
+regions are aligned as many at a time as fit into CELLS cells, so memory is bounded by the
+longest item, however many or long the texts are.
 
 Defined results: one row for each text and item that it contains (the match with the fewest
-edits, the first of equals); null and empty texts match nothing; items that are null or
-shorter than MIN_ITEM characters match nothing; repeated rows of either table give repeated
-result rows; empty tables give an empty result; other columns are ignored.
+edits, the first of equals); null and empty texts match nothing; items that are null or blank
+match nothing; repeated rows of either table give repeated result rows; empty tables give an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,16 +34,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import materialize, slices, table
 
 Q = 8
-#: Edits allowed for each character of an item.
-EDIT_RATE = 0.1
-MIN_ITEM = 30
+#: Edits allowed for each character of an item of EDITED characters or more.
+EDIT_RATE, EDITED = 0.1, 30
 ITEM_BLOCK, ITEM_BLOCK_CHARS = 20_000, 4_000_000
 #: Code points that are searched at a time, over texts joined together.
 PIECE = 1 << 20
 FILTER_BITS = 22
+#: Characters of items and bands that are aligned together.
+CELLS = 1 << 20
 OUTSIDE = 0x110000
 
 
@@ -64,40 +71,66 @@ def normalize(text: str) -> tuple[np.ndarray, np.ndarray]:
     return points[at], at
 
 
-def gram_hashes(points: np.ndarray) -> np.ndarray:
-    """A hash of the Q code points from each place on."""
-    h = points.astype(np.uint64)
-    size = 1
-    while size < Q:
-        h = h[:-size] * np.uint64(0x9E3779B97F4A7C15 + 2 * size) + h[size:]
+@lru_cache(maxsize=1)
+def in_words() -> np.ndarray:
+    """Whether each folded code point is a letter, mark or number."""
+    return np.array([unicodedata.category(chr(c))[0] in "LMN" for c in range(OUTSIDE)] + [False])
+
+
+def gram_hashes(points: np.ndarray, q: int = Q) -> np.ndarray:
+    """A hash of the q code points from each place on."""
+    n = max(0, len(points) - q + 1)
+    h = np.zeros(n, np.uint64)
+    for k in range(q):
+        h = (h ^ points[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-        size *= 2
     return h * np.uint64(0xD6E8FEB86659FD93)
 
 
+def trimmed(text: str) -> np.ndarray:
+    points = normalize(text)[0]
+    points = points[int(len(points) > 0 and points[0] == 32) :]
+    return points[: len(points) - int(len(points) > 0 and points[-1] == 32)]
+
+
 class Index:
-    """The q-grams of a block of items, with the places where they stand."""
-
-    def __init__(self, items: list[tuple[int, str]]):
-        folded = []
-        for item_id, text in items:
-            points = normalize(text or "")[0]
-            points = points[int(len(points) > 0 and points[0] == 32) :]
-            points = points[: len(points) - int(len(points) > 0 and points[-1] == 32)]
-            if len(points) >= MIN_ITEM:
-                folded.append((item_id, points))
+    """The items of a block, dealt by q."""
+
+    def __init__(self, items: list[tuple[object, str]]):
+        folded = [(item_id, p) for item_id, text in items if len(p := trimmed(text or ""))]
         self.ids = [i for i, _ in folded]
-        self.points = [p for _, p in folded]
+        length = np.array([len(p) for _, p in folded], np.int64)
+        self.budget = np.where(length >= EDITED, (length * EDIT_RATE).astype(np.int64), 0)
+        q = np.minimum(Q, length // (self.budget + 1))
+        self.groups = []
+        for some in sorted({(int(x), bool(e)) for x, e in zip(q, length >= EDITED, strict=True)}):
+            at = np.flatnonzero((q == some[0]) & ((length >= EDITED) == some[1]))
+            self.groups.append(Group([folded[i][1] for i in at.tolist()], self.budget[at], at, *some))
+
+    def search(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
+        """For each text its matches (edits, start, end, item), one for each item."""
+        best: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
+        if self.groups:
+            folded = [(k, *normalize(t)) for k, t in enumerate(texts) if t]
+            for group in self.groups:
+                group.search(folded, best)
+        return [[(*found, item) for item, found in sorted(b.items())] for b in best]
+
+
+class Group:
+    """The q-grams of items with one q, and the places where they stand."""
+
+    def __init__(self, points: list[np.ndarray], budget: np.ndarray, number: np.ndarray, q: int, edited: bool):
+        self.points, self.budget, self.number, self.q, self.edited = points, budget, number, q, edited
         self.length = np.array([len(p) for p in self.points], np.int64)
-        self.budget = np.minimum((self.length * EDIT_RATE).astype(np.int64), (self.length - Q) // Q)
-        self.least = self.length - Q + 1 - self.budget * Q
+        self.least = self.length - q + 1 - self.budget * q
         self.width = self.budget + 1
         self.longest = int(self.length.max(initial=0))
         widest = int(self.width.max(initial=1))
         self.reach = self.longest + 4 * widest
         # No match reaches over this much foreign text, and matches in two texts are further apart than a band.
-        self.gap = widest + Q
-        grams = [gram_hashes(p) for p in self.points]
+        self.gap = widest + q
+        grams = [gram_hashes(p, q) for p in self.points]
         every = np.concatenate([np.zeros(0, np.uint64), *grams])
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams]).astype(np.int64)
         place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(g)) for g in grams)])
@@ -111,9 +144,9 @@ class Index:
     def regions(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(item, least diagonal) of the bands that may hold a match; a band has 2 * width diagonals."""
         none = np.zeros(0, np.int64)
-        if len(points) < Q or not len(self.grams):
+        if len(points) < self.q:
             return none, none
-        hashes = gram_hashes(points)
+        hashes = gram_hashes(points, self.q)
         at = np.flatnonzero(self.filter[hashes >> np.uint64(64 - FILTER_BITS)])
         found = np.searchsorted(self.grams, hashes[at])
         found[found == len(self.grams)] = 0
@@ -140,7 +173,7 @@ class Index:
         pairs = np.unique(both * np.int64(self.longest) + np.concatenate((place, place)))
         band, number = np.unique(pairs // self.longest, return_counts=True)
         item = band // steps
-        enough = number >= self.least[np.minimum(item, len(self.ids) - 1)]
+        enough = number >= self.least[np.minimum(item, len(self.points) - 1)]
         band, item = band[enough], item[enough]
         return item, (band - item * steps) * self.width[item] - self.longest
 
@@ -160,8 +193,12 @@ class Index:
         known end `anchor` towards its start.
         """
         edits, other = np.empty(len(item), np.int64), np.empty(len(item), np.int64)
-        for a in range(0, len(item), 512):
-            edits[a : a + 512], other[a : a + 512] = self.align_some(points, item[a : a + 512], anchor[a : a + 512], backward)
+        order, a = np.argsort(-self.length[item], kind="stable"), 0
+        while a < len(order):  # the longest first, which bounds what is aligned with it
+            longest = item[order[a]]
+            some = order[a : a + max(1, min(512, CELLS // int(self.length[longest] + 4 * self.width[longest])))]
+            edits[some], other[some] = self.align_some(points, item[some], anchor[some], backward)
+            a += len(some)
         return edits, other
 
     def align_some(self, points, item, anchor, backward):
@@ -206,12 +243,15 @@ class Index:
         if not len(item):
             return []
         edits, start, end = self.verify(points, item, diagonal)
-        good = np.flatnonzero(edits <= self.budget[item])
-        return [(int(edits[i]), int(start[i]), int(end[i]), int(item[i])) for i in good]
-
-    def search(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
-        """For each text its matches (edits, start, end, item), one for each item."""
-        best: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
+        good = edits <= self.budget[item]
+        if not self.edited:  # nothing of a word goes on beyond either end
+            word = np.append(in_words()[points], False)
+            good &= ~(word[start - 1] & word[start]) & ~(word[end - 1] & word[end])
+        good = np.flatnonzero(good)
+        return [(int(edits[i]), int(start[i]), int(end[i]), int(self.number[item[i]])) for i in good]
+
+    def search(self, texts: list[tuple[int, np.ndarray, np.ndarray]], best: list[dict[int, tuple[int, int, int]]]) -> None:
+        """Put the matches of folded texts (number, points, places) into `best`."""
         pieces, total = [], 0
 
         def flush():
@@ -230,44 +270,48 @@ class Index:
                 if item not in best[text] or found < best[text][item]:
                     best[text][item] = found
 
-        for k, text in enumerate(texts):
-            if not text or not self.ids:
-                continue
-            points, at = normalize(text)
+        for k, points, at in texts:
             for a in range(0, max(1, len(points) - self.reach), PIECE):
-                some = slice(a, a + PIECE + self.reach)
+                some = slice(max(0, a - 1), a + PIECE + self.reach)  # with the character before
                 pieces.append((k, points[some], at[some]))
                 total += len(points[some]) + self.gap
                 if total >= PIECE:
                     flush()
                     pieces, total = [], 0
         flush()
-        return [[(*found, item) for item, found in sorted(b.items())] for b in best]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", item_block: int = ITEM_BLOCK) -> DataFrame:
     """doc_id, item_id, start, end, edits: one row for each text and item that it contains."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).filter("text IS NOT NULL")
-    size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
+    items = items.select("item_id", "text", F.sha2("text", 256).alias("key"))
+    # Items with the same text are searched once, and told apart again at the end.
+    distinct = items.groupBy("key").agg(F.first("text").alias("text"))
+    size = distinct.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
     blocks = max(1, -(-size.n // item_block), -(-size.chars // ITEM_BLOCK_CHARS))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = None
     for block in range(blocks):
-        some = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        shared = spark.sparkContext.broadcast([(r.item_id, r.text) for r in some])
-        part = rows.mapInArrow(searcher(shared), "doc_id long, item_id long, start long, end long, edits long")
+        some = distinct.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block).collect()
+        shared = spark.sparkContext.broadcast([(r.key, r.text) for r in some])
+        part = rows.mapInArrow(searcher(shared), "doc_id long, key string, start long, end long, edits long")
+        if blocks > 1:
+            part = materialize(part, "decontaminate-matches")
+            shared.destroy()
         found = part if found is None else found.unionByName(part)
-    return found
+    return found.join(items.select("key", "item_id"), "key").select("doc_id", "item_id", "start", "end", "edits")
 
 
 def searcher(shared):
     def run(batches):
         index = Index(shared.value)
-        for batch in batches:
-            out = [(doc_id, index.ids[item], start, end, edits) for doc_id, found in zip(batch.column(0).to_pylist(), index.search(batch.column(1).to_pylist()), strict=True) for edits, start, end, item in found]
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+        for batch in (part for whole in batches for part in slices(whole, 1, rows=2048)):
+            searched = zip(batch.column(0).to_pylist(), index.search(batch.column(1).to_pylist()), strict=True)
+            out = [(doc_id, index.ids[item], start, end, edits) for doc_id, found in searched for edits, start, end, item in found]
             columns = list(zip(*out, strict=True)) if out else [[]] * 5
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "start", "end", "edits"])
+            yield pa.record_batch([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=["doc_id", "key", "start", "end", "edits"])
 
     return run
 
