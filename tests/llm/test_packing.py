@@ -1,6 +1,7 @@
 """Best fit against a plain search, and a lossless round trip."""
 
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -25,12 +26,54 @@ def plain(sizes, width):
 
 def test_best_fit():
     rng = random.Random(4)
-    for width in (1, 7, 64, 100):
-        sizes = [rng.randint(1, width) for _ in range(400)]
-        rows = P.best_fit(sizes, width)
-        assert sorted(i for r in rows for i in r) == list(range(400))
-        rooms = [width - sum(sizes[i] for i in r) for r in rows]
-        assert sorted(rooms) == sorted(plain(sizes, width)[1]) and min(rooms) >= 0
+    for width, most in ((1, 1), (7, 7), (64, 64), (100, 100), (64, 9), (100, 30)):
+        for n in (1, 3, 400):
+            sizes = [rng.randint(1, most) for _ in range(n)]
+            counts = Counter(sizes)
+            steps, number = P.best_fit(counts, width)
+            used: dict[int, list[tuple[int, int]]] = {}
+            for size, c in counts.items():
+                for rank in range(c):
+                    first, row, each, at = max(s for s in steps[size] if s[0] <= rank)
+                    used.setdefault(row + (rank - first) // each, []).append((at + (rank - first) % each * size, size))
+            assert sorted(used) == list(range(number))
+            rooms = []
+            for row in used.values():  # pieces follow each other without a gap
+                at = 0
+                for start, size in sorted(row):
+                    assert start == at
+                    at += size
+                assert at <= width
+                rooms.append(width - at)
+            assert sorted(rooms) == sorted(plain(sizes, width)[1])
+
+
+def test_the_result_does_not_depend_on_partitions(spark, tmp_path):
+    rng = random.Random(7)
+    rows = [(i % 390, " ".join(rng.choice(["one", "été", "x1", "long", "\n"]) for _ in range(rng.randint(0, 200)))) for i in range(400)]
+    rows += [(7, "same words again")] * 50
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    for parts in (1, 16, 128):
+        packed = P.pack(frame.repartition(parts), width=96, group_pieces=20)
+        seen.append(sorted((r.row_id, bytes(r.ids), r.cu_seqlens, r.doc_ids, r.offsets) for r in packed.collect()))
+    assert seen[0] == seen[1] == seen[2]
+    assert [r[0] for r in seen[0]] == list(range(len(seen[0])))
+    sizes = [b - a for r in seen[0] for a, b in zip(r[2][:-1], r[2][1:], strict=True)]
+    assert len(seen[0]) == len(plain(sizes, 96)[0])
+    index = P.write_binary(packed, f"{tmp_path}/out")
+    assert index["rows"] == len(seen[0]) and index["tokens"] == sum(sizes)
+    ids, resets = [], []
+    for name in (f["name"] for f in index["files"]):
+        part = lambda kind, name=name: np.fromfile(f"{tmp_path}/out/{name}.{kind}", "<i4")
+        ids += [r.tobytes() for r in part("ids").reshape(-1, 96)]
+        segments, at, cu = part("segments"), 0, part("cu")
+        assert len(part("resets")) == segments.sum() and len(cu) == (segments + 1).sum()
+        for n in segments:
+            resets.append(cu[at : at + n].tolist())
+            at += n + 1
+        assert [x for r in resets[-len(segments) :] for x in r] == part("resets").tolist()
+    assert sorted(ids) == sorted(r[1] for r in seen[0])
 
 
 def test_round_trip_and_edges(spark):
