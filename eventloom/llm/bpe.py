@@ -8,9 +8,10 @@ in time proportional to the pre-token's length times the longest token's.
 
 Defined results: null and empty texts have no tokens and decode to the empty string; repeated
 rows give repeated result rows; an empty table gives an empty result; columns other than the
-id and the text are ignored. Texts are encoded whole, whatever their length. Letters, numbers
-and lower case follow Python's Unicode tables; a character that only a later version of
-Unicode knows may be split otherwise than by the library.
+id and the text are ignored. Texts are encoded whole, whatever their length. Letters, numbers,
+white space, lower case and canonical composition of every code point are those of the
+tokenizers library itself: tables are read off it once, on the driver, and texts with one of the
+few code points on which its Unicode version and Python's differ take a slower way.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import os
 import re
 import sys
 import unicodedata
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import slices, table
 
 VOCABULARY = "word_bpe_49k.json"
 #: Stands for the word-end suffix, as one character (private use).
@@ -57,35 +59,71 @@ def byte_characters() -> list[str]:
     return [shown[b] for b in range(256)]
 
 
-def character_classes(last: int) -> tuple[str, str]:
-    """Ranges of letters and of numbers up to the code point `last`, for classes of `re`."""
-    ranges: dict[str, list[str]] = {"L": [], "N": [], "": []}
-    start, before = 0, ""
-    for point in range(last + 2):
-        kind = unicodedata.category(chr(point))[0] if point <= last else ""
-        kind = kind if kind in "LN" else ""
-        if kind != before:
-            ranges[before].append(f"\\U{start:08x}-\\U{point - 1:08x}")
-            start, before = point, kind
-    return "".join(ranges["L"]), "".join(ranges["N"])
+#: Every code point that a text can have.
+EVERY = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
 
 
-def splitter(last: int):
-    """The file's splitting pattern for texts up to a code point: short classes are faster."""
-    letters, numbers = character_classes(last)
-    return re.compile(f"[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d|[{numbers}]|[^{BLANK}{letters}{numbers}]+").findall
+def ranges(chars: list[str]) -> str:
+    """Sorted characters as ranges for a class of `re`."""
+    points = np.array([ord(c) for c in chars], np.int64)
+    if not len(points):
+        return ""
+    first = np.flatnonzero(np.append(True, np.diff(points) != 1))
+    last = np.append(first[1:], len(points)) - 1
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(points[first].tolist(), points[last].tolist(), strict=True))
 
 
-#: White space, as the vocabulary's pattern understands it.
-BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+@dataclass(frozen=True)
+class Characters:
+    """What the library makes of characters: classes, and where it departs from Python."""
+
+    letters: str
+    numbers: str
+    blank: str
+    low_letters: str  # the same up to U+FFFF: short classes are faster
+    low_numbers: str
+    odd: str  # code points whose lower case or composition may not be Python's
+
+
+@lru_cache(maxsize=1)
+def characters() -> Characters:
+    from tokenizers import Regex, normalizers
+
+    def those(kind: str) -> list[str]:
+        return list(normalizers.Replace(Regex(f"[^{kind}]"), "").normalize_str(whole))
+
+    whole = "".join(EVERY)
+    letters, numbers, blank = those("\\p{L}"), those("\\p{N}"), those("\\s")
+    lower, compose = normalizers.Lowercase().normalize_str, normalizers.NFC().normalize_str
+
+    def departs(some: list[str]) -> list[str]:
+        """The characters of which library and Python make different things; most runs have none."""
+        joined = "\n".join(some)
+        if lower(joined) == "\n".join(c.lower() for c in some) and compose(joined) == unicodedata.normalize("NFC", joined):
+            return []
+        if len(some) == 1:
+            return some
+        return departs(some[: len(some) // 2]) + departs(some[len(some) // 2 :])
+
+    # What Python's tables have not assigned may only be composed or ordered within longer texts.
+    odd = {c for c in EVERY if unicodedata.category(c) == "Cn"}
+    odd.update(c for at in range(0, len(EVERY), 4096) for c in departs(EVERY[at : at + 4096]))
+    low = lambda chars: ranges([c for c in chars if ord(c) <= 0xFFFF])
+    return Characters(ranges(letters), ranges(numbers), ranges(blank), low(letters), low(numbers), ranges(sorted(odd)))
+
+
+def splitter(letters: str, numbers: str, blank: str):
+    """The file's splitting pattern."""
+    return re.compile(f"[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d|[{numbers}]|[^{blank}{letters}{numbers}]+").findall
 
 
 class Encoder:
     """The vocabulary file's normaliser, splitter, merges and ids."""
 
-    def __init__(self, content: bytes):
+    def __init__(self, content: bytes, chars: Characters | None = None):
         import ahocorasick
 
+        chars = chars or characters()
         file = json.loads(content)
         suffix = file["model"]["end_of_word_suffix"]
         written = {token: token.removesuffix(suffix) + END if token.endswith(suffix) else token for token in file["model"]["vocab"]}
@@ -105,7 +143,8 @@ class Encoder:
             if self.reachable(token):
                 self.automaton.add_word(token, (self.ids[token], token, len(token) - (token[-1] == END)))
         self.automaton.make_automaton()
-        self.split, self.split_any = splitter(0xFFFF), splitter(sys.maxunicode)
+        self.split, self.split_any = splitter(chars.low_letters, chars.low_numbers, chars.blank), splitter(chars.letters, chars.numbers, chars.blank)
+        self.odd = re.compile(f"[{chars.odd}]").search
         self.beyond = re.compile("[\U00010000-\U0010ffff]").search
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
         self.bytes = byte_characters()
@@ -203,18 +242,27 @@ class Encoder:
         """The file has no decoder: its tokens are written as they are, a space between them."""
         return " ".join([self.names[i] for i in ids])
 
+    def normalize(self, part: str) -> str:
+        """Composed and in lower case, as by the library."""
+        if part.isascii():
+            return part.lower()
+        if self.odd(part):
+            from tokenizers import normalizers
+
+            return normalizers.Lowercase().normalize_str(normalizers.NFC().normalize_str(part))
+        # The library lowers one character at a time, Python a final sigma by its place.
+        return unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+
     def pieces(self, text: str) -> list[tuple[str, str]]:
         found = []
         for part in self.special_split(text) if self.special_split and any(s in text for s in self.special) else [text]:
             if part in self.special:
                 found.append((str(self.special[part]), part))
                 continue
-            split = self.split
-            if not part.isascii():
-                part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-                split = self.split_any if self.beyond(part) else split
+            part = self.normalize(part)
+            split = self.split if part.isascii() or not self.beyond(part) else self.split_any
             known = self.known
-            for word in split(part.lower()):
+            for word in split(part):
                 piece = known.get(word)
                 if piece is None:
                     piece = self.before.get(word) or self.piece(word)
@@ -243,20 +291,19 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(content: bytes) -> Encoder:
-    return Encoder(content)
+def encoder(content: bytes, chars: Characters | None = None) -> Encoder:
+    return Encoder(content, chars)
 
 
 def encode(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (array of int), decoded text: one row for each row of `docs`."""
     with open(vocabulary or vocabulary_path(), "rb") as file:
-        content = file.read()
+        content, chars = file.read(), characters()
 
     def run(batches):
-        model = encoder(content)
+        model = encoder(content, chars)
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
+            for part in slices(batch, 1, SLICE):
                 both = [model.encode_both(t.as_py() or "") for t in part.column(1)]
                 offsets = np.cumsum([0, *(len(ids) for ids, _ in both)], dtype=np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([ids for ids, _ in both])))
@@ -269,10 +316,10 @@ def encode(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id
 def encode_digest(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens and the digests of ids and decoded text, without moving the ids."""
     with open(vocabulary or vocabulary_path(), "rb") as file:
-        content = file.read()
+        content, chars = file.read(), characters()
 
     def run(batches):
-        model = encoder(content)
+        model = encoder(content, chars)
         for batch in batches:
             counts, ids, texts = [], [], []
             for text in batch.column(1):

@@ -47,7 +47,7 @@ WIDTH = 2048
 #: An id that the vocabulary leaves free.
 PAD = 50256
 #: Pieces of one length that are numbered together; one number for each such group reaches the driver.
-GROUP_PIECES = 100_000
+GROUP_PIECES = 10_000
 #: Rows that a task puts together at a time.
 ROWS = 128
 
@@ -165,11 +165,13 @@ def placed(cut: DataFrame, width: int, group_pieces: int) -> DataFrame:
     parts = spark.createDataFrame([(s, -(-n // group_pieces)) for s, n in counts.items()] or [(0, 1)], "of int, parts long")
     key = F.xxhash64("doc_id", "at", "ids")
     dealt = cut.withColumn("key", key).join(F.broadcast(parts), F.col("size") == F.col("of")).withColumn("part", F.pmod("key", "parts")).drop("of", "parts")
-    before: dict[tuple[int, int], int] = {}
-    sums = dict.fromkeys(counts, 0)
-    for size, part, n in sorted(dealt.groupBy("size", "part").count().collect()):  # one row for each group
-        before[size, part] = sums[size]
-        sums[size] += n
+    groups = dealt.groupBy("size", "part").count().toArrow()  # one row of three numbers for each group
+    size, part, n = (groups[k].to_numpy() for k in range(3))
+    before = {s: np.zeros(-(-c // group_pieces), np.int64) for s, c in counts.items()}
+    for s, c in before.items():
+        own = size == s
+        c[part[own]] = n[own]
+        c[:] = np.cumsum(c) - c
     shared = spark.sparkContext.broadcast((before, steps))
 
     def number(batches):
@@ -179,7 +181,7 @@ def placed(cut: DataFrame, width: int, group_pieces: int) -> DataFrame:
             rows, starts = [], []
             for size, part in zip(batch.column("size").to_pylist(), batch.column("part").to_pylist(), strict=True):
                 if (size, part) != group:
-                    group, rank = (size, part), offsets[size, part]
+                    group, rank = (size, part), int(offsets[size][part])
                 first, row, each, at = plan[size][bisect_right(plan[size], (rank, 1 << 62)) - 1]
                 rows.append(row + (rank - first) // each)
                 starts.append(at + (rank - first) % each * size)

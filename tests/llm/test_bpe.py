@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import unicodedata
 
 import pytest
 from tokenizers import Tokenizer
@@ -31,6 +32,18 @@ def test_same_ids_and_decoding(both):
         assert ours.decode(ids) == theirs.decode(ids, skip_special_tokens=False)
 
 
+def test_every_code_point(both):
+    """Each one alone, in words, after numbers, before a combining mark; a thousand to a text."""
+    theirs, ours = both
+    for at in range(0, len(B.EVERY), 1000):
+        text = " ".join(f"a{c}b 1{c}" + f" {c}\u0301" * (unicodedata.category(c) != "Cn") for c in B.EVERY[at : at + 1000])
+        assert ours.encode(text) == theirs.encode(text, add_special_tokens=False).ids, hex(at)
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choice(B.EVERY) for _ in range(200))
+        assert ours.encode(text) == theirs.encode(text, add_special_tokens=False).ids
+
+
 def test_edges(spark, both):
     theirs, _ = both
     rows = [(1, None, 0), (1, None, 0), (2, "", 0), (None, "one two", 0), (3, "word " * 60_000 + "z" * 50_000, 0)]
