@@ -1,35 +1,33 @@
 """Line dedup by a log-template tree (operator 2).
 
-Every line is parsed at fixed depth: tokens with digits or an at sign become a wildcard, then
-the token count and the first LEAD tokens lead to a leaf. Inside a leaf, lines of LONG tokens
-or more are generalised: the tokens after the lead form RUNS runs, lines of a leaf that have a
-run in common meet in its bucket, and a line that agrees with the bucket's earliest line in
-EQUAL_RUNS runs or more takes that line's template (the runs that differ are the variable
-fields). In the pipeline, a line with fewer equal runs also does if the share of equal tokens,
-position by position, is EQUAL_TOKENS or more; those tokens are read again from the texts, for
-such lines only. A line is compared only with its buckets' earliest lines, never with all others.
+Every line with a token is parsed at fixed depth: tokens with digits or an at sign become a
+wildcard, then the token count and the first LEAD tokens lead to a leaf. Inside a leaf, lines are
+generalised: two lines belong to one template if EQUAL_TOKENS of their tokens are equal, position
+by position (so lines of three tokens or fewer are templates of their own). The tokens after the
+lead form up to RUNS runs; a line is compared with the earliest line of each of its buckets, one
+for each run (lines that have this run) and one for each run left out (lines that have all other
+runs). Lines that differ in one field thus always meet. Links between lines are followed to their
+end: what they connect is one template, and the positions that differ are its variable fields.
 
 A template found in MIN_DOCS documents or more is recurring: its lines are dropped from every
 document except the one with the smallest doc_id that has it, so that one copy of a repeated
 passage stays. Counts cover all documents.
 
-One pass over the texts writes ids and hashes of runs to the shared folder; templates are
-64-bit hashes of masked lines. Counts are aggregated before they are shuffled, and the lines'
-joins have one row for each template on their other side, so a template that a third of all
-lines share is split like any skewed join.
+One pass over the texts writes ids and hashes of runs to the shared folder; exact lines are
+64-bit hashes of masked lines. The runs decide most comparisons, as equal runs are equal tokens
+and a differing run has one differing token at least; for the others, tokens are read again from
+the texts. Counts are aggregated before they are shuffled, and the lines' joins have one row for
+each template on their other side, so a template that a third of all lines share is split like
+any skewed join.
 
 Defined results: one row for each input row, with its lines in order; null texts stay null and
-have no lines; lines of fewer than MIN_TOKENS tokens are always kept by op2_lines and its SQL twin
-(the pipeline parses every line with a token); a null doc_id counts as no document and keeps no
-first copy; repeated rows are one document; an empty table gives an empty result; other columns
-may have any name.
+have no lines; lines without a token are always kept; a null doc_id counts as no document and
+keeps no first copy; repeated rows are one document; an empty table gives an empty result; other
+columns may have any name.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import partial
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,13 +35,12 @@ from .common import materialize, table, words_of
 from .simhash import components
 
 MIN_DOCS = 5
-MIN_TOKENS = 3
 LEAD = 2
-LONG = 10
 RUNS = 8
-EQUAL_RUNS = 6
-#: The share of equal tokens that makes a line with fewer equal runs take a template.
+#: The share of equal tokens, position by position, that makes two lines one template.
 EQUAL_TOKENS = 0.75
+#: Fewer tokens cannot differ in one and agree in that share.
+LEAST_GENERAL = 4
 #: Leaves and templates (one or two longs each) are broadcast up to this number, 8 MB.
 BROADCAST_HASHES = 500_000
 
@@ -60,6 +57,12 @@ def tokens_of(line: Column) -> Column:
     return F.when(line.rlike(r"[\x09-\x0D]"), words_of(line)).otherwise(F.array_remove(F.split(line, " "), ""))
 
 
+def edge(rest: Column, k: int) -> Column:
+    """Where run k begins in the `rest` tokens after the lead: runs are nearly equal, and none is empty."""
+    parts = F.least(rest, F.lit(RUNS))
+    return F.floor(rest * F.least(F.lit(k), parts) / parts).cast("int")
+
+
 def parse(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, row (a hash of the text), pos, n, line, leaf and runs of every line.
 
@@ -68,16 +71,17 @@ def parse(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row"), F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "raw"))
     split = rows.select("doc_id", "row", "pos", tokens_of(masked(F.col("raw"))).alias("w"))
     rest = F.size("w") - LEAD
-    edges = [F.floor(rest * k / RUNS).cast("int") for k in range(RUNS + 1)]
-    runs = F.array(*(F.hash(F.slice("w", edges[k] + LEAD + 1, edges[k + 1] - edges[k])) for k in range(RUNS)))
+    edges = [edge(rest, k) for k in range(RUNS + 1)]
+    runs = F.array(*(F.when(rest > k, F.hash(F.slice("w", edges[k] + LEAD + 1, edges[k + 1] - edges[k]))) for k in range(RUNS)))
+    general = F.size("w") >= LEAST_GENERAL
     return split.select(
         "doc_id",
         "row",
         "pos",
         F.size("w").alias("n"),
         F.xxhash64("w").alias("line"),
-        F.when(F.size("w") >= LONG, F.xxhash64(F.size("w"), F.slice("w", 1, LEAD))).alias("leaf"),
-        F.when(F.size("w") >= LONG, runs).alias("runs"),
+        F.when(general, F.xxhash64(F.size("w"), F.slice("w", 1, LEAD))).alias("leaf"),
+        F.when(general, runs).alias("runs"),
     )
 
 
@@ -101,57 +105,53 @@ def tokens_at(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) ->
     return materialize(split.groupBy("line").agg(F.first("tokens").alias("tokens")), "lines-tokens")
 
 
-def generalise(lines: DataFrame, min_docs: int, tokens: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """line, template: the lines that take the template of an earlier line.
-
-    With `tokens` (a reader of lines' tokens), lines with fewer equal runs, one at least, are
-    decided by their share of equal tokens, and templates are followed as far as they lead.
-    """
+def generalise(docs: DataFrame, id_col: str, text_col: str, lines: DataFrame, min_docs: int) -> DataFrame:
+    """line, template: the lines that share a template with an earlier line."""
     leaves = lines.filter("leaf IS NOT NULL").groupBy("leaf").agg(F.count(F.lit(1)).alias("c"), F.min("line").alias("a"), F.max("line").alias("b"))
     known = hashes(leaves.filter((F.col("c") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf"), "lines-leaves")
     distinct = (
         lines.filter(F.col("doc_id").isNotNull())
         .join(known, "leaf", "left_semi")
         .groupBy("line")
-        .agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.first("leaf").alias("leaf"), F.first("runs").alias("runs"))
+        .agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.first("leaf").alias("leaf"), F.first("n").alias("n"), F.first("runs").alias("runs"))
     )
     distinct = materialize(distinct, "lines-distinct")
-    keys = [F.xxhash64("leaf", F.lit(k), F.get("runs", F.lit(k))) for k in range(RUNS)]
-    buckets = distinct.select("line", "at", "runs", F.explode(F.array(*keys)).alias("bucket"))
+    run = [F.get("runs", F.lit(k)) for k in range(RUNS)]
+    rest = F.col("n") - LEAD
+    own = [F.when(rest > k, F.xxhash64("leaf", F.lit(k), run[k])) for k in range(RUNS)]
+    without = [F.when(rest > k, F.xxhash64("leaf", F.lit(-1 - k), *(run[j] for j in range(RUNS) if j != k))) for k in range(RUNS)]
+    buckets = distinct.select("line", "at", "n", "runs", F.explode(F.array(*own, *without)).alias("bucket")).filter("bucket IS NOT NULL")
     first = buckets.groupBy("bucket").agg(F.min_by(F.struct("at", "line", "runs"), F.struct("at", "line")).alias("first"), F.count(F.lit(1)).alias("c"))
-    met = buckets.join(first.filter("c > 1").select("bucket", "first"), "bucket")
-    equal = sum(((F.get("runs", F.lit(k)) == F.get("first.runs", F.lit(k))).cast("int") for k in range(RUNS)), F.lit(0))
-    near = met.filter(equal >= EQUAL_RUNS).select("line", "first.at", F.col("first.line").alias("other"))
-    if tokens:
-        pairs = met.filter(equal < EQUAL_RUNS).select("line", F.col("at").alias("own"), "first.at", F.col("first.line").alias("other")).distinct()
-        pairs = materialize(pairs, "lines-pairs")
-        found = tokens(pairs.select("line", F.col("own").alias("at")).unionByName(pairs.select(F.col("other").alias("line"), "at")).distinct())
-        both = pairs.join(found, "line").join(found.select(F.col("line").alias("other"), F.col("tokens").alias("others")), "other")
-        same = F.size(F.filter(F.zip_with("tokens", "others", lambda a, b: a == b), lambda x: x))
-        near = near.unionByName(both.filter(same >= EQUAL_TOKENS * F.size("tokens")).select("line", "at", "other"))
-    near = near.groupBy("line").agg(F.min(F.struct("at", F.col("other").alias("line"))).alias("first"))
-    near = materialize(near.select("line", F.col("first.line").alias("template")).filter("line <> template"), "lines-templates")
-    if tokens:
-        stars = components(near.select(F.col("line").alias("u"), F.col("template").alias("v")))
-        return hashes(stars.select(F.col("node").alias("line"), F.col("root").alias("template")), "lines-generalised")
-    # The earliest line may itself have taken an earlier template.
-    onward = near.select(F.col("line").alias("template"), F.col("template").alias("earlier"))
-    return hashes(near.join(onward, "template", "left").select("line", F.coalesce("earlier", "template").alias("template")), "lines-generalised")
-
-
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, by_tokens: bool = False) -> DataFrame:
+    met = buckets.join(first.filter("c > 1").select("bucket", "first"), "bucket").filter(F.col("line") != F.col("first.line"))
+    equal = [F.coalesce(F.get("runs", F.lit(k)) == F.get("first.runs", F.lit(k)), F.lit(False)) for k in range(RUNS)]
+    zero = F.lit(0)
+    least = sum((F.when(equal[k], edge(rest, k + 1) - edge(rest, k)).otherwise(zero) for k in range(RUNS)), F.lit(LEAD))
+    differing = sum((F.when(~equal[k] & (rest > k), 1).otherwise(zero) for k in range(RUNS)), zero)
+    need = EQUAL_TOKENS * F.col("n")
+    met = met.filter(F.col("n") - differing >= need).select("line", F.col("at").alias("own"), "first.at", F.col("first.line").alias("other"), (least >= need).alias("sure"))
+    met = materialize(met.distinct(), "lines-pairs")
+    doubt = met.filter("NOT sure")
+    found = tokens_at(docs, id_col, text_col, doubt.select("line", F.col("own").alias("at")).unionByName(doubt.select(F.col("other").alias("line"), "at")).distinct())
+    both = doubt.join(found, "line").join(found.select(F.col("line").alias("other"), F.col("tokens").alias("others")), "other")
+    same = F.size(F.filter(F.zip_with("tokens", "others", lambda a, b: a == b), lambda x: x))
+    near = met.filter("sure").select("line", "other").unionByName(both.filter(same >= EQUAL_TOKENS * F.size("tokens")).select("line", "other"))
+    stars = components(near.select(F.col("line").alias("u"), F.col("other").alias("v")))
+    return hashes(stars.select(F.col("node").alias("line"), F.col("root").alias("template")), "lines-generalised")
+
+
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, row, drops: the places of the lines to drop, for documents that have some."""
-    lines = materialize(parse(docs, id_col, text_col), "lines-parsed").filter(F.col("n") >= min_tokens)
-    templates = generalise(lines, min_docs, partial(tokens_at, docs, id_col, text_col) if by_tokens else None)
+    lines = materialize(parse(docs, id_col, text_col), "lines-parsed").filter("n > 0")
+    templates = generalise(docs, id_col, text_col, lines, min_docs)
     slim = lines.select("doc_id", "row", "pos", "line").join(templates, "line", "left").withColumn("template", F.coalesce("template", "line")).drop("line")
     recurring = slim.groupBy("template").agg(F.count_distinct("doc_id").alias("docs"), F.min("doc_id").alias("keeper")).filter(F.col("docs") >= min_docs)
     found = slim.join(hashes(recurring.select("template", "keeper"), "lines-recurring"), "template").filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     return found.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("drops"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, by_tokens: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """The columns of `docs` as c_0, c_1 and so on, with kept_text, n_lines and n_dropped."""
-    drops = dropped_lines(docs, id_col, text_col, min_docs, min_tokens, by_tokens).select(F.col("doc_id").alias("d_id"), F.col("row").alias("d_row"), "drops")
+    drops = dropped_lines(docs, id_col, text_col, min_docs).select(F.col("doc_id").alias("d_id"), F.col("row").alias("d_row"), "drops")
     rows = docs.select(*(F.col(f"`{c}`").alias(f"c_{i}") for i, c in enumerate(docs.columns)))
     doc_id, text = (F.col(f"c_{docs.columns.index(c)}") for c in (id_col, text_col))
     joined = rows.join(drops, doc_id.eqNullSafe(F.col("d_id")) & (F.xxhash64(text) == F.col("d_row")), "left")
@@ -170,33 +170,37 @@ def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select(F.col("c_0").alias("doc_id"), "n_lines", "n_dropped", F.col("kept_text").alias("text"))
 
 
+#: The same rows from whole tokens: runs are lists, links are followed by recursion, nothing is hashed.
 OP2_SQL = f"""
-WITH raw AS (
+WITH RECURSIVE raw AS (
   SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS raw FROM documents WHERE text IS NOT NULL
 ), parsed AS (
   SELECT doc_id, pos, list_transform(list_filter(regexp_split_to_array(raw, '[\\x20\\x09-\\x0D]+'), lambda x: x <> ''),
     lambda x: CASE WHEN regexp_matches(x, '[0-9@]') THEN '{WILDCARD}' ELSE x END) AS w FROM raw
-), lines AS (SELECT doc_id, pos, w, len(w) AS n, w[1:{LEAD}] AS head FROM parsed WHERE len(w) >= {MIN_TOKENS}
+), lines AS (SELECT doc_id, pos, w, len(w) AS n, w[1:{LEAD}] AS head FROM parsed WHERE len(w) > 0
 ), leaves AS (
-  SELECT n, head FROM lines WHERE n >= {LONG} GROUP BY n, head HAVING count(*) >= {MIN_DOCS} AND min(w) <> max(w)
+  SELECT n, head FROM lines WHERE n >= {LEAST_GENERAL} GROUP BY n, head HAVING count(*) >= {MIN_DOCS} AND min(w) <> max(w)
 ), firsts AS (
-  SELECT w, n, head, min(struct_pack(d := doc_id, p := pos)) AS spot FROM lines SEMI JOIN leaves USING (n, head) GROUP BY w, n, head
+  SELECT w, n, head, min(struct_pack(d := doc_id, p := pos)) AS spot, row_number() OVER (ORDER BY w) AS id FROM lines SEMI JOIN leaves USING (n, head) GROUP BY w, n, head
+), cut AS (
+  SELECT *, list_transform(range(least(n - {LEAD}, {RUNS})), lambda k: w[{LEAD} + 1 + (n - {LEAD}) * k // least(n - {LEAD}, {RUNS}) : {LEAD} + (n - {LEAD}) * (k + 1) // least(n - {LEAD}, {RUNS})]) AS runs FROM firsts
 ), buckets AS (
-  SELECT w, n, head, spot, seg, w[{LEAD} + 1 + ((n - {LEAD}) * seg // {RUNS}) : {LEAD} + ((n - {LEAD}) * (seg + 1) // {RUNS})] AS part
-  FROM firsts, range({RUNS}) AS r(seg)
+  SELECT id, w, n, head, spot, 'own' AS kind, k, [runs[k + 1]] AS part FROM cut, range({RUNS}) AS r(k) WHERE k < len(runs)
+  UNION ALL SELECT id, w, n, head, spot, 'without', k, list_concat(runs[1:k], runs[k + 2:]) FROM cut, range({RUNS}) AS r(k) WHERE k < len(runs)
 ), earliest AS (
-  SELECT n, head, seg, part, min(spot) AS spot, arg_min(w, spot) AS founder FROM buckets GROUP BY n, head, seg, part HAVING count(*) > 1
+  SELECT n, head, kind, k, part, arg_min(w, spot) AS founder, arg_min(id, spot) AS founder_id FROM buckets GROUP BY n, head, kind, k, part HAVING count(*) > 1
 ), near AS (
-  SELECT b.w, arg_min(e.founder, e.spot) AS template FROM buckets b JOIN earliest e USING (n, head, seg, part)
-  WHERE list_sum(list_transform(range({RUNS}), lambda k: CASE WHEN b.w[{LEAD} + 1 + ((b.n - {LEAD}) * k // {RUNS}) : {LEAD} + ((b.n - {LEAD}) * (k + 1) // {RUNS})] = e.founder[{LEAD} + 1 + ((b.n - {LEAD}) * k // {RUNS}) : {LEAD} + ((b.n - {LEAD}) * (k + 1) // {RUNS})] THEN 1 ELSE 0 END)) >= {EQUAL_RUNS} GROUP BY b.w
-), templates AS (
-  SELECT a.w, coalesce(b.template, a.template) AS template FROM near a LEFT JOIN near b ON a.template = b.w AND b.template <> b.w WHERE a.template <> a.w
+  SELECT DISTINCT b.id AS u, e.founder_id AS v FROM buckets b JOIN earliest e USING (n, head, kind, k, part)
+  WHERE b.id <> e.founder_id AND list_sum(list_transform(list_zip(b.w, e.founder), lambda p: CASE WHEN p[1] = p[2] THEN 1 ELSE 0 END)) >= {EQUAL_TOKENS} * b.n
+), links AS (SELECT u, v FROM near UNION SELECT v, u FROM near
+), reach AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u
+), templates AS (SELECT f.w, least(r.u, min(r.v)) AS template FROM reach r JOIN firsts f ON f.id = r.u GROUP BY f.w, r.u
 ), keyed AS (
-  SELECT doc_id, pos, coalesce(t.template, l.w) AS template FROM lines l LEFT JOIN templates t ON l.w = t.w
+  SELECT doc_id, pos, CASE WHEN t.template IS NULL THEN l.w ELSE [CAST(t.template AS VARCHAR)] END AS template, t.template IS NULL AS alone FROM lines l LEFT JOIN templates t ON l.w = t.w
 ), recurring AS (
-  SELECT template, min(doc_id) AS keeper FROM keyed GROUP BY template HAVING count(DISTINCT doc_id) >= {MIN_DOCS}
+  SELECT template, alone, min(doc_id) AS keeper FROM keyed GROUP BY template, alone HAVING count(DISTINCT doc_id) >= {MIN_DOCS}
 ), dropped AS (
-  SELECT DISTINCT doc_id, pos FROM keyed JOIN recurring USING (template) WHERE doc_id <> keeper
+  SELECT DISTINCT doc_id, pos FROM keyed JOIN recurring USING (template, alone) WHERE doc_id <> keeper
 ), kept AS (
   SELECT r.doc_id, count(*) AS n_lines, count(d.pos) AS n_dropped, coalesce(string_agg(r.raw, chr(10) ORDER BY r.pos) FILTER (WHERE d.pos IS NULL), '') AS text
   FROM raw r LEFT JOIN dropped d ON r.doc_id = d.doc_id AND r.pos = d.pos GROUP BY r.doc_id
