@@ -18,12 +18,6 @@ from .secrets import op6_secrets
 from .simhash import op4_simhash
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -36,7 +30,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pages": op8_pages,
         "op9_packing": op9_packing,
         "op10_bpe": op10_bpe,
-        "pipeline": pipeline,
     }
 
 
