@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import slices, table
 
 LABELLED_PAGES = 300
 ROUNDS = 80
@@ -541,7 +541,7 @@ def main_text(pages: DataFrame, model: Model | None = None, id_col: str = "page_
 
     def run(batches):
         fitted = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             texts = [fitted.extract(page.as_py()) for page in batch.column(2)]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 

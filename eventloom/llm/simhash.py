@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, materialize, table
+from .common import BROADCAST_ROWS, materialize, slices, table
 
 SEED = 42
 RADIUS = 4
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
     """doc_id and fp (the fingerprint as a signed long), one row for each row of `docs`."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             fps = [signed(fingerprint(t.as_py(), shingle)) for t in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
