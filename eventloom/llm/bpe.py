@@ -83,6 +83,7 @@ class Characters:
     low_letters: str  # the same up to U+FFFF: short classes are faster
     low_numbers: str
     odd: str  # code points whose lower case or composition may not be Python's
+    low_odd: str
 
 
 @lru_cache(maxsize=1)
@@ -109,7 +110,7 @@ def characters() -> Characters:
     odd = {c for c in EVERY if unicodedata.category(c) == "Cn"}
     odd.update(c for at in range(0, len(EVERY), 4096) for c in departs(EVERY[at : at + 4096]))
     low = lambda chars: ranges([c for c in chars if ord(c) <= 0xFFFF])
-    return Characters(ranges(letters), ranges(numbers), ranges(blank), low(letters), low(numbers), ranges(sorted(odd)))
+    return Characters(ranges(letters), ranges(numbers), ranges(blank), low(letters), low(numbers), ranges(sorted(odd)), low(sorted(odd)))
 
 
 def splitter(letters: str, numbers: str, blank: str):
@@ -144,7 +145,7 @@ class Encoder:
                 self.automaton.add_word(token, (self.ids[token], token, len(token) - (token[-1] == END)))
         self.automaton.make_automaton()
         self.split, self.split_any = splitter(chars.low_letters, chars.low_numbers, chars.blank), splitter(chars.letters, chars.numbers, chars.blank)
-        self.odd = re.compile(f"[{chars.odd}]").search
+        self.odd, self.low_odd = re.compile(f"[{chars.odd}]").search, re.compile(f"[{chars.low_odd}]").search
         self.beyond = re.compile("[\U00010000-\U0010ffff]").search
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
         self.bytes = byte_characters()
@@ -246,7 +247,7 @@ class Encoder:
         """Composed and in lower case, as by the library."""
         if part.isascii():
             return part.lower()
-        if self.odd(part):
+        if (self.odd if self.beyond(part) else self.low_odd)(part):
             from tokenizers import normalizers
 
             return normalizers.Lowercase().normalize_str(normalizers.NFC().normalize_str(part))
