@@ -13,10 +13,10 @@ A template found in MIN_DOCS documents or more is recurring: its lines are dropp
 document except the one with the smallest doc_id that has it, so that one copy of a repeated
 passage stays. Counts cover all documents.
 
-One pass over the texts writes ids and hashes of runs to the shared folder; exact lines are
-64-bit hashes of masked lines. The runs decide most comparisons, as equal runs are equal tokens
-and a differing run has one differing token at least; for the others, tokens are read again from
-the texts. Counts are aggregated before they are shuffled, and the lines' joins have one row for
+One pass over the texts writes ids and hashes of lines and leaves to the shared folder; exact lines are
+64-bit hashes of masked lines. The tokens of a leaf's different lines, which are few, are read again
+from the texts that have them first. The runs decide most comparisons, as equal runs are equal tokens
+and a differing run has one differing token at least. Counts are aggregated before they are shuffled, and the lines' joins have one row for
 each template on their other side, so a template that a third of all lines share is split like
 any skewed join.
 
@@ -64,25 +64,14 @@ def edge(rest: Column, k: int) -> Column:
 
 
 def parse(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, row (a hash of the text), pos, n, line, leaf and runs of every line.
+    """doc_id, row (a hash of the text), pos, n, line and leaf of every line.
 
     Nothing is filtered here: a filter on the tokens would split every line once more.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row"), F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "raw"))
     split = rows.select("doc_id", "row", "pos", tokens_of(masked(F.col("raw"))).alias("w"))
-    rest = F.size("w") - LEAD
-    edges = [edge(rest, k) for k in range(RUNS + 1)]
-    runs = F.array(*(F.when(rest > k, F.hash(F.slice("w", edges[k] + LEAD + 1, edges[k + 1] - edges[k]))) for k in range(RUNS)))
-    general = F.size("w") >= LEAST_GENERAL
-    return split.select(
-        "doc_id",
-        "row",
-        "pos",
-        F.size("w").alias("n"),
-        F.xxhash64("w").alias("line"),
-        F.when(general, F.xxhash64(F.size("w"), F.slice("w", 1, LEAD))).alias("leaf"),
-        F.when(general, runs).alias("runs"),
-    )
+    leaf = F.when(F.size("w") >= LEAST_GENERAL, F.xxhash64(F.size("w"), F.slice("w", 1, LEAD)))
+    return split.select("doc_id", "row", "pos", F.size("w").alias("n"), F.xxhash64("w").alias("line"), leaf.alias("leaf"))
 
 
 def hashes(frame: DataFrame, label: str) -> DataFrame:
@@ -95,44 +84,45 @@ def hashes(frame: DataFrame, label: str) -> DataFrame:
 
 
 def tokens_at(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """line and the hashes of its tokens, for the lines of `wanted` (line, at), read again from their texts."""
+    """line, at and tokens (hashes) of the lines of `wanted` (line, at), read again from their texts."""
     places = wanted.groupBy(F.col("at.doc_id").alias("of")).agg(F.collect_set(F.struct("at.pos", "line")).alias("places"))
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.split(F.col(text_col), "\n").alias("all")).join(hashes(places, "lines-places"), F.col("doc_id") == F.col("of"))
-    rows = texts.select(F.explode("places").alias("place"), "all").select(F.col("place.line").alias("line"), F.get("all", F.col("place.pos")).alias("raw"))
-    split = rows.filter("raw IS NOT NULL").select("line", tokens_of(masked(F.col("raw"))).alias("w"))
+    places = materialize(places, "lines-places")
+    few = (places.agg(F.sum(F.size("places"))).first()[0] or 0) <= BROADCAST_HASHES
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.split(F.col(text_col), "\n").alias("all"))
+    texts = texts.join(F.broadcast(places) if few else places, F.col("doc_id") == F.col("of"))
+    rows = texts.select("doc_id", F.explode("places").alias("place"), "all").select("doc_id", "place.*", F.get("all", F.col("place.pos")).alias("raw"))
+    split = rows.filter("raw IS NOT NULL").select("line", F.struct("doc_id", "pos").alias("at"), tokens_of(masked(F.col("raw"))).alias("w"))
     # A doc_id may have several texts: only that with the line counts.
-    split = split.filter(F.xxhash64("w") == F.col("line")).select("line", F.transform("w", lambda x: F.hash(x)).alias("tokens"))
-    return materialize(split.groupBy("line").agg(F.first("tokens").alias("tokens")), "lines-tokens")
+    split = split.filter(F.xxhash64("w") == F.col("line")).select("line", "at", F.transform("w", lambda x: F.hash(x)).alias("tokens"))
+    return materialize(split.groupBy("line").agg(F.first("at").alias("at"), F.first("tokens").alias("tokens")), "lines-tokens")
 
 
 def generalise(docs: DataFrame, id_col: str, text_col: str, lines: DataFrame, min_docs: int) -> DataFrame:
     """line, template: the lines that share a template with an earlier line."""
     leaves = lines.filter("leaf IS NOT NULL").groupBy("leaf").agg(F.count(F.lit(1)).alias("c"), F.min("line").alias("a"), F.max("line").alias("b"))
     known = hashes(leaves.filter((F.col("c") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf"), "lines-leaves")
-    distinct = (
-        lines.filter(F.col("doc_id").isNotNull())
-        .join(known, "leaf", "left_semi")
-        .groupBy("line")
-        .agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.first("leaf").alias("leaf"), F.first("n").alias("n"), F.first("runs").alias("runs"))
-    )
-    distinct = materialize(distinct, "lines-distinct")
+    distinct = lines.filter(F.col("doc_id").isNotNull()).join(known, "leaf", "left_semi").groupBy("line").agg(F.min(F.struct("doc_id", "pos")).alias("at"))
+    tokens = tokens_at(docs, id_col, text_col, distinct)
+    n = F.size("tokens")
+    leaf = F.xxhash64(n, F.slice("tokens", 1, LEAD))
+    runs = F.array(*(F.when(n - LEAD > k, F.xxhash64(F.slice("tokens", edge(n - LEAD, k) + LEAD + 1, edge(n - LEAD, k + 1) - edge(n - LEAD, k)))) for k in range(RUNS)))
+    distinct = tokens.select("line", "at", n.alias("n"), leaf.alias("leaf"), runs.alias("runs"))
     run = [F.get("runs", F.lit(k)) for k in range(RUNS)]
     rest = F.col("n") - LEAD
     own = [F.when(rest > k, F.xxhash64("leaf", F.lit(k), run[k])) for k in range(RUNS)]
     without = [F.when(rest > k, F.xxhash64("leaf", F.lit(-1 - k), *(run[j] for j in range(RUNS) if j != k))) for k in range(RUNS)]
     buckets = distinct.select("line", "at", "n", "runs", F.explode(F.array(*own, *without)).alias("bucket")).filter("bucket IS NOT NULL")
-    first = buckets.groupBy("bucket").agg(F.min_by(F.struct("at", "line", "runs"), F.struct("at", "line")).alias("first"), F.count(F.lit(1)).alias("c"))
+    first = buckets.groupBy("bucket").agg(F.min_by(F.struct("line", "runs"), F.struct("at", "line")).alias("first"), F.count(F.lit(1)).alias("c"))
     met = buckets.join(first.filter("c > 1").select("bucket", "first"), "bucket").filter(F.col("line") != F.col("first.line"))
     equal = [F.coalesce(F.get("runs", F.lit(k)) == F.get("first.runs", F.lit(k)), F.lit(False)) for k in range(RUNS)]
     zero = F.lit(0)
     least = sum((F.when(equal[k], edge(rest, k + 1) - edge(rest, k)).otherwise(zero) for k in range(RUNS)), F.lit(LEAD))
     differing = sum((F.when(~equal[k] & (rest > k), 1).otherwise(zero) for k in range(RUNS)), zero)
     need = EQUAL_TOKENS * F.col("n")
-    met = met.filter(F.col("n") - differing >= need).select("line", F.col("at").alias("own"), "first.at", F.col("first.line").alias("other"), (least >= need).alias("sure"))
+    met = met.filter(F.col("n") - differing >= need).select("line", F.col("first.line").alias("other"), (least >= need).alias("sure"))
     met = materialize(met.distinct(), "lines-pairs")
-    doubt = met.filter("NOT sure")
-    found = tokens_at(docs, id_col, text_col, doubt.select("line", F.col("own").alias("at")).unionByName(doubt.select(F.col("other").alias("line"), "at")).distinct())
-    both = doubt.join(found, "line").join(found.select(F.col("line").alias("other"), F.col("tokens").alias("others")), "other")
+    own_tokens, others = tokens.select("line", "tokens"), tokens.select(F.col("line").alias("other"), F.col("tokens").alias("others"))
+    both = met.filter("NOT sure").join(own_tokens, "line").join(others, "other")
     same = F.size(F.filter(F.zip_with("tokens", "others", lambda a, b: a == b), lambda x: x))
     near = met.filter("sure").select("line", "other").unionByName(both.filter(same >= EQUAL_TOKENS * F.size("tokens")).select("line", "other"))
     stars = components(near.select(F.col("line").alias("u"), F.col("other").alias("v")))
