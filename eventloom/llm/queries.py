@@ -13,7 +13,7 @@ from .lines import OP2_SQL, op2_lines
 from .packing import op9_packing
 from .pages import op8_pages
 from .pii import op3_pii
-from .quality import op1_quality
+from .quality import op1_quality, op1_sql
 from .secrets import op6_secrets
 from .simhash import op4_simhash
 
@@ -34,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_lines": OP2_SQL}
+    return {"op1_quality": op1_sql(), "op2_lines": OP2_SQL}
