@@ -1,17 +1,19 @@
 """Personal data by weak supervision (operator 3).
 
-Candidate spans come from the base expressions and from looser ones. Five labelers (strict
-shape, checksum or range, gazetteer, context before, delimiters around) vote for, against or
-not at all on each candidate. Expectation-maximisation over the counted vote patterns
-estimates how reliable each labeler is for each kind, and its posteriors train the final span
-classifier (log odds of votes and shape) that decides on the candidates that are not base
-spans. Base spans always stay.
+Candidate spans come from the base expressions and from looser ones. Six labelers, each looking
+at something else (form, checksum or range, gazetteer, words before, words after, characters
+around), vote for, against or not at all on each candidate. Expectation-maximisation over the
+counted vote patterns estimates how reliable each labeler is for each kind (labelers that have no vote on a
+kind are left out), and its posteriors train the final span classifier (log odds of votes, size and share of digits), which decides on the
+candidates that are not base spans. Base spans always stay; those that the classifier would refuse are
+counted as doubted.
 
 One pass over the texts writes the few candidates of each text to the shared folder. The
-driver then receives the counts of distinct patterns of votes and shape, at most
-3^5 * 4 * 3 for each of nine kinds whatever the number of texts, and fits the two models in
+driver then receives the counts of distinct patterns of votes and form, at most
+3^6 * 4 * 3 for each of nine kinds whatever the number of texts, and fits the two models in
 exact order; everything else is DataFrame expressions. Expressions are possessive and
-anchored, so a scan is linear in the length of a text.
+anchored, and overlaps of spans are found by binary search among sorted places, so the time
+grows with the length of a text, and no faster than it by more than a logarithm.
 
 Defined results: a null or empty text has no spans; repeated rows give repeated result rows;
 an empty table gives an empty result; columns other than the id and the text are ignored.
@@ -28,13 +30,42 @@ from .common import let, materialize, table
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "email_text", "phone_local", "ssn", "iban", "name")
-LABELERS = ("shape", "check", "gazetteer", "before", "around")
+LABELERS = ("form", "check", "gazetteer", "before", "after", "around")
 ROUNDS = 40
-#: Characters of context that the context labeler reads.
+#: Characters of context that the context labelers read.
 CONTEXT = 24
 CHUNK = 512
 
 LOCAL = "A-Za-z0-9._%+-"
+
+# Fixed word lists: the gazetteers.
+TITLES = "Mr Mrs Ms Dr Prof Herr Frau Mme Sr Sra".split()
+FIRST_NAMES = (
+    "Adam Alan Albert Alice Amanda Amy Andrea Andreas Andrew Angela Anna Anne Antonio Barbara Benjamin Bernd Betty Brian Carlos Carmen Carol Catherine Charles "
+    "Christian Christine Christopher Claire Claude Claudia Daniel David Deborah Diego Donald Dorothy Edward Elena Elizabeth Emily Emma Eric Eva Felix Fernando "
+    "Francisco Frank Fritz George Gerhard Hannah Hans Heinz Helen Helga Henry Ines Isabelle Ivan Jack Jacques James Jan Jason Javier Jean Jeffrey Jennifer Jessica "
+    "Joan Johann John Jonathan Jorge Jose Joseph Joshua Juan Julia Julie Karen Karl Katherine Kenneth Kevin Klaus Laura Lena Linda Lisa Louis Lucas Lucie Luis Manuel "
+    "Margaret Maria Marie Mark Martin Mary Matthew Michael Michelle Miguel Monika Nancy Nicolas Olivier Pablo Patricia Patrick Paul Pedro Peter Petra Philippe Pierre "
+    "Rachel Rafael Raymond Rebecca Richard Robert Ronald Rosa Ruth Samuel Sandra Sara Sarah Scott Sophie Stefan Stephen Susan Thomas Timothy Ursula Victoria Walter "
+    "William Wolfgang"
+).split()
+LAST_NAMES = (
+    "Adams Anderson Bauer Becker Bernard Brown Campbell Clark Davis Diaz Dubois Durand Evans Fernandez Fischer Garcia Gomez Gonzalez Green Hall Harris Hernandez Hill "
+    "Hoffmann Jackson Johnson Jones Klein Koch Lefebvre Leroy Lewis Lopez Martin Martinez Meyer Miller Mitchell Moore Moreau Moreno Morgan Muller Perez Petit Ramirez "
+    "Richter Rivera Roberts Robinson Rodriguez Ruiz Sanchez Schmidt Schneider Schulz Scott Simon Smith Taylor Thomas Thompson Torres Turner Wagner Walker Weber White "
+    "Williams Wilson Wright Young"
+).split()
+DOMAINS = "com org net edu gov info io de fr es it uk eu ch at nl us ca be pt pl se no dk fi ie au nz jp br mx ar cl in cz gr ru cn biz name app dev".split()
+# Length of the account numbers of a country.
+ACCOUNT_LENGTHS = {
+    "AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HU": 28, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24,
+}
+
+
+def one_of(words) -> str:
+    return "(?:" + "|".join(words) + ")"
+
+
 #: A run may begin where the last match ended, or where no run character stands before it: the
 #: places where an unanchored search would begin a match.
 EXPRESSIONS = {
@@ -46,7 +77,7 @@ EXPRESSIONS = {
     "phone_local": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
-    "name": r"(?<![\p{L}0-9])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?\x20\p{Lu}\p{Ll}++(?:\x20\p{Lu}\p{Ll}++)?",
+    "name": rf"(?<![\p{{L}}0-9])(?:{one_of(TITLES)}\.?\x20|(?={one_of(FIRST_NAMES)}\x20))\p{{Lu}}\p{{Ll}}++(?:\x20\p{{Lu}}\p{{Ll}}++){{0,2}}+",
 }
 #: What a text must have before the longer expression is tried.
 NEEDS = {
@@ -58,34 +89,54 @@ NEEDS = {
     "phone_local": r"[0-9]{3}[.\x20-][0-9]{4}",
     "ssn": r"[0-9]-[0-9]{2}-[0-9]",
     "iban": r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}",
-    "name": r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?\x20\p{Lu}",
+    "name": rf"(?<![\p{{L}}0-9])(?:{one_of(TITLES)}\.?|{one_of(FIRST_NAMES)})\x20\p{{Lu}}",
 }
-#: Strict shapes, for the first labeler.
-SHAPES = {
+#: The form labeler: strict forms, for kinds whose expression leaves some room.
+FORMS = {
     "email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}$",
     "ip": r"^(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}$",
     "card": r"^(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})$",
     "phone": r"^\+[1-9][0-9]{0,2}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){1,4}$",
-    "email_text": r"(?:\[|\()(?:at|AT)(?:\]|\)).*(?:dot|DOT|\.)",
-    "phone_local": r"^\([2-9][0-9]{2}\) ?[2-9]|^[2-9][0-9]{2}[-.][2-9][0-9]{2}[-.]",
-    "ssn": r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$",
+    "email_text": r"^[A-Za-z0-9._-]+( ?)[\[(](?:at|AT)[\])]\1[A-Za-z0-9-]+(?:\1[\[(](?:dot|DOT)[\])]\1[A-Za-z0-9-]+)+$",
+    "phone_local": r"^\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}$|^[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}$",
     "iban": r"^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$|^[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?$",
     "name": r"\p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+$",
 }
-# Fixed word lists.
-GAZETTEER_FOR = {
-    "email": r"\.(?:com|org|net|edu|gov|info|io|de|fr|es|it|uk|eu|ch|at|nl|us|ca)$",
+#: The check labeler: ranges that the numbering plans leave out.
+RANGES = {
+    "phone_local": r"^\(?[2-9](?!11)[0-9]{2}\)?[ .-]?[2-9](?!11)[0-9]{2}",
+    "ssn": r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$",
+}
+#: The gazetteer labeler: lists of what there is.
+LISTED = {
+    "email": rf"\.{one_of(DOMAINS)}$",
     "ip": r"^(?!0\.|127\.|255\.|22[4-9]\.|23[0-9]\.|24[0-9]\.|25[0-5]\.)",
     "card": r"^(?:4|5[1-5]|2[2-7]|3[47]|6(?:011|5)|35)",
     "phone": r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})",
-    "email_text": r"(?:com|org|net|edu|de|fr|es)$",
-    "phone_local": r"^\(?(?:2|3|4|5|6|7|8|9)",
-    "ssn": r"^[0-8]",
-    "iban": r"^(?:AT|BE|CH|CZ|DE|DK|ES|FI|FR|GB|GR|IE|IT|LU|NL|NO|PL|PT|SE)",
-    "name": r"(?:James|John|Robert|Michael|William|David|Mary|Anna|Maria|Sarah|Peter|Thomas|Hans|Klaus|Marie|Jean|Pierre|Jose|Juan|Carmen)",
+    "email_text": rf"[^A-Za-z]{one_of(DOMAINS)}$",
+    "iban": "^" + one_of(f"{c}(?:[^A-Z0-9]*[A-Z0-9]){{{n - 2}}}$" for c, n in ACCOUNT_LENGTHS.items()),
+    "name": rf"(?:^|\x20){one_of(FIRST_NAMES)}\x20|\x20{one_of(LAST_NAMES)}$",
 }
-CONTEXT_FOR = r"(?:e-?mail|mail|contact|kontakt|correo|courriel|phone|call|tel|fax|mobile|telefon|ssn|social|card|visa|credit|karte|iban|account|konto|ip|address|addr|host|name|dear|from)\W*$"
-CONTEXT_AGAINST = r"(?:version|release|build|section|chapter|page|isbn|issn|order|invoice|ref|serial|part|figure|v)\W*$"
+#: The labelers of context: words before and after a candidate that speak for its kind.
+BEFORE = {
+    "email": "e-?mail|mail|contact|kontakt|correo|courriel|address|write to",
+    "ip": "ip|address|addr|host|server|from",
+    "card": "card|visa|mastercard|credit|karte|tarjeta|carte|payment",
+    "phone": "phone|call|tel|telephone|fax|mobile|cell|telefon|number",
+    "email_text": "e-?mail|mail|contact|kontakt|correo|courriel|reach me at|write to",
+    "phone_local": "phone|call|tel|telephone|fax|mobile|cell|telefon",
+    "ssn": "ssn|social security|social|tax id|security number",
+    "iban": "iban|account|konto|cuenta|compte|transfer to",
+    "name": "dear|from|by|name|named|contact|signed|author|to|met|with|and",
+}
+AFTER = {
+    "phone": "ext|extension|x[0-9]",
+    "phone_local": "ext|extension|x[0-9]|for (?:help|more|details)",
+    "name": "said|says|wrote|writes|born|lives|lived|told|asked|who|was|is|and|has|works",
+}
+#: Words before and after that speak against every kind: numbers of other things, and amounts.
+AGAINST_BEFORE = "version|release|build|section|chapter|page|isbn|issn|order|invoice|ref|serial|part|figure|model|item|sku|ticket|no|v|hotel|street|plaza|ship"
+AGAINST_AFTER = "kg|km|cm|mm|eur|usd|euros|dollars|pcs|pieces|items|percent|hotel|street|plaza|avenue|airport|award|prize"
 
 
 def prefix_sums(values: Column) -> Column:
@@ -147,17 +198,17 @@ def base_valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def checked(kind: str, match: Column) -> Column:
-    """The vote of the second labeler: a checksum or a range, where the kind has one."""
-    if kind in ("card", "ip", "phone", "iban"):
-        return F.lit(1)  # the rules hold already
-    if kind == "ssn":
-        return F.when(match.rlike(SHAPES["ssn"]), 1).otherwise(-1)
-    return F.lit(0)
+def vote(name: str, *cases: tuple[Column, int]) -> Column:
+    """The vote of the first case that holds; 0 if none does."""
+    value = F.lit(f"{name}:0")
+    for condition, voted in reversed(cases):
+        value = F.when(condition, f"{name}:{voted}").otherwise(value)
+    return value
 
 
-def vote(name: str, value: Column) -> Column:
-    return F.concat(F.lit(f"{name}:"), value.cast("string"))
+def listed(name: str, patterns: dict[str, str], kind: str, match: Column) -> Column:
+    """For or against by a kind's pattern; no vote on kinds without one."""
+    return vote(name, (match.rlike(patterns[kind]), 1), (F.lit(True), -1)) if kind in patterns else vote(name)
 
 
 def candidates(text: Column, kind: str) -> Column:
@@ -166,15 +217,18 @@ def candidates(text: Column, kind: str) -> Column:
     def span(found: Column) -> Column:
         def one(m: Column, i: Column) -> Column:
             start = F.get(found.at, i) + F.length(F.get(found.p, i))
-            before = F.lower(F.right(F.get(found.p, i), F.lit(CONTEXT)))
+            before, after = F.lower(F.right(F.get(found.p, i), F.lit(CONTEXT))), F.lower(F.left(F.get(found.p, i + 1), F.lit(CONTEXT)))
             around = F.concat(F.right(F.get(found.p, i), F.lit(1)), F.lit("|"), F.left(F.get(found.p, i + 1), F.lit(1)))
             digits, size = F.length(digits_of(m)), F.length(m)
+            ends = lambda words: before.rlike(rf"(?:^|[^\p{{L}}])(?:{words})[^\p{{L}}0-9]*$")
+            begins = lambda words: after.rlike(rf"^[^\p{{L}}0-9]*(?:{words})(?:[^\p{{L}}]|$)")
             features = [
-                vote("shape", F.when(m.rlike(SHAPES[kind]), 1).otherwise(-1)),
-                vote("check", checked(kind, m)),
-                vote("gazetteer", F.when(m.rlike(GAZETTEER_FOR[kind]), 1).otherwise(-1)),
-                vote("before", F.when(before.rlike(CONTEXT_AGAINST), -1).when(before.rlike(CONTEXT_FOR), 1).otherwise(0)),
-                vote("around", F.when(around.rlike(r"[\p{L}0-9]\||\|[\p{L}0-9]"), -1).when(around.rlike(r"^[\x20\x09-\x0D]?\|[\x20\x09-\x0D.,;:!?)]?$"), 1).otherwise(0)),
+                listed("form", FORMS, kind, m),
+                listed("check", RANGES, kind, m),
+                listed("gazetteer", LISTED, kind, m),
+                vote("before", (ends(AGAINST_BEFORE), -1), (ends(BEFORE[kind]), 1)),
+                vote("after", (begins(AGAINST_AFTER), -1), *([(begins(AFTER[kind]), 1)] if kind in AFTER else [])),
+                vote("around", (around.rlike(r"[\p{L}0-9]\||\|[\p{L}0-9]"), -1), (around.rlike(r"^[\x20\x09-\x0D]?\|[\x20\x09-\x0D.,;:!?)]?$"), 1)),
                 F.when(size < 12, "size:a").when(size < 18, "size:b").when(size < 28, "size:c").otherwise("size:d"),
                 F.when(digits == 0, "digits:none").when(digits * 2 < size, "digits:some").otherwise("digits:most"),
             ]
@@ -189,9 +243,45 @@ def candidates(text: Column, kind: str) -> Column:
     return F.when(needed, let(placed, span))
 
 
+def furthest(values: Column) -> Column:
+    """The largest value up to and with each value; in chunks, so that long arrays stay cheap."""
+    most = lambda xs, least: F.aggregate(xs, least, lambda a, b: F.greatest(a, b))
+
+    def whole(chunks: Column) -> Column:
+        def within(before: Column, xs: Column) -> Column:
+            start = F.struct(before.alias("top"), F.array().cast("array<int>").alias("out"))
+            return F.aggregate(xs, start, lambda s, x: F.struct(F.greatest(s.top, x).alias("top"), F.array_append(s.out, F.greatest(s.top, x)).alias("out"))).out
+
+        tops = F.transform(chunks, lambda xs: most(xs, F.lit(-1)))
+        return let(tops, lambda t: F.flatten(F.transform(chunks, lambda xs, c: within(most(F.slice(t, 1, c), F.lit(-1)), xs))))
+
+    starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(values) / CHUNK).cast("int") - 1, F.lit(0)))
+    return let(values, lambda v: let(F.transform(starts, lambda c: F.slice(v, c * CHUNK + 1, CHUNK)), whole))
+
+
+def number_below(values: Column, bound: Column) -> Column:
+    """How many of the sorted values are below the bound, by binary search."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(values) + 1)).cast("int"))
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s.low + s.high) / 2).cast("int")
+        below = (s.low < s.high) & (F.get(values, middle) < bound)
+        return F.struct(F.when(below, middle + 1).otherwise(s.low).alias("low"), F.when((s.low < s.high) & ~below, middle).otherwise(s.high).alias("high"))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size(values).alias("high")), halve).low
+
+
 def apart(spans: Column, others: Column) -> Column:
-    """The spans that overlap none of the others; both are sorted by place, each free of overlaps."""
-    return F.when(F.size(others) == 0, spans).otherwise(F.filter(spans, lambda s: ~F.exists(others, lambda o: (o.start < s.end) & (s.start < o.end))))
+    """The spans that overlap none of the others."""
+
+    def of(x: Column) -> Column:
+        """A span overlaps another if one that begins before its end reaches beyond its start."""
+        free = lambda s: F.coalesce(F.get(x.reach, number_below(x.starts, s.end) - 1) <= s.start, F.lit(True))
+        return F.filter(spans, free)
+
+    places = F.sort_array(F.transform(others, lambda o: F.struct(o.start.alias("start"), o.end.alias("end"))))
+    sorted_ = let(places, lambda o: F.struct(F.transform(o, lambda p: p.start).alias("starts"), furthest(F.transform(o, lambda p: p.end)).alias("reach")))
+    return F.when((F.size(spans) == 0) | (F.size(others) == 0), spans).otherwise(let(sorted_, of))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -210,12 +300,13 @@ def estimate(patterns: dict[tuple[str, ...], int]) -> dict[tuple[str, ...], floa
 
     Every labeler has its own chances of voting +1, 0 and -1 on either class; pseudo-counts
     lean towards labelers that are better than chance, which also fixes which class is which.
+    Labelers that vote on no pattern are left out.
     """
-    names = [f"{n}:" for n in LABELERS]
+    names = [n for n in (f"{n}:" for n in LABELERS) if any(f.startswith(n) and f != f"{n}0" for p in patterns for f in p)]
     votes = {p: [next(f for f in p if f.startswith(n)) for n in names] for p in patterns}
     chance = {}
     for p, v in votes.items():
-        total = sum(int(x.partition(":")[2]) for x in v)
+        total = sum(int(f.partition(":")[2]) for f in p if f.partition(":")[0] in LABELERS)
         chance[p] = 0.9 if total > 0 else 0.1 if total < 0 else 0.5
     lean = {"1": (2.0, 0.5), "0": (1.0, 1.0), "-1": (0.5, 2.0)}
     for _ in range(ROUNDS):
@@ -288,4 +379,6 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(count(i).alias(f"n_{k}") for i, k in enumerate(BASE_KINDS)),
         F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
         joined(F.concat("base", "added")).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+        F.col("doubted").cast("long").alias("n_doubted"),
     )
