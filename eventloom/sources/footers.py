@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
 
 import pyarrow.parquet as pq
 
@@ -13,4 +14,9 @@ def uncompressed_bytes(path: str) -> int:
 
 
 def volume(paths: list[str]) -> dict[str, int]:
-    return {"files": len(paths), "file_bytes": sum(map(os.path.getsize, paths)), "uncompressed_bytes": sum(map(uncompressed_bytes, paths))}
+    sizes = [os.path.getsize(p) for p in paths]
+    return {"files": len(paths), "file_bytes": sum(sizes), "least_bytes": min(sizes, default=0), "most_bytes": max(sizes, default=0), "uncompressed_bytes": sum(map(uncompressed_bytes, paths))}
+
+
+def rows_in(paths: Iterable[str]) -> int:
+    return sum(pq.read_metadata(p).num_rows for p in paths)
