@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def aligned(frame: DataFrame) -> DataFrame:
-    return frame.select(*sorted(frame.columns))
-
-
 def differences(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows, as often as they are missing on the other side, with `side` left or right."""
-    a, b = aligned(left), aligned(right)
-    return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
+    """Rows, as often as they are missing on the other side, with `side` left or right: one shuffle of counts."""
+    columns = sorted(left.columns)
+    named = [F.col(f"`{c}`").alias(f"c_{i}") for i, c in enumerate(columns)]
+    both = left.select(*named, F.lit(1).alias("n")).union(right.select(*named, F.lit(-1).alias("n")))
+    surplus = both.groupBy(*(f"c_{i}" for i in range(len(columns)))).agg(F.sum("n").alias("n")).filter("n <> 0")
+    repeated = surplus.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.abs("n"))))
+    return repeated.select(*(F.col(f"c_{i}").alias(c) for i, c in enumerate(columns)), F.when(F.col("n") > 0, "left").otherwise("right").alias("side"))
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> bool:

@@ -62,18 +62,24 @@ def tag_copies_skewed(frame: DataFrame, key: Sequence[str], business: Sequence[s
 
 
 def tag_copies_hashed(frame: DataFrame, key: Sequence[str], business: Sequence[str], provenance: str, reason: str = "rejection_reason") -> DataFrame:
-    """The same rows again: hashes decide most conflicts, and JSON only where hashes agree.
+    """The same rows again: one hash of a row decides most keys, without moving rows.
 
-    A hash skips nulls, so equal hashes of several copies prove nothing and are compared in full.
+    Every key's copies, least and greatest hash are counted first. Different hashes are different copies; a
+    hash skips nulls, so only the rows of keys with several copies of one hash are compared in full. Rows
+    of keys without copies are never moved but to meet their verdict.
     """
-    whole = Window.partitionBy(*key)
-    hashed = frame.withColumn("__hash", F.xxhash64(packed(business)))
-    hashed = hashed.withColumns({"__copies": F.count(F.lit(1)).over(whole), "__min": F.min("__hash").over(whole), "__max": F.max("__hash").over(whole)})
-    doubt = (F.col("__copies") > 1) & (F.col("__min") == F.col("__max"))
-    texts = hashed.withColumn("__json", F.when(doubt, F.to_json(packed(business), {"ignoreNullFields": "false"})))
-    compared = texts.withColumns(
-        {"__low": F.min("__json").over(whole), "__high": F.max("__json").over(whole), "__copy": F.row_number().over(whole.orderBy(F.asc_nulls_last(provenance)))}
-    )
-    differs = (F.col("__min") != F.col("__max")) | F.coalesce(F.col("__low") != F.col("__high"), F.lit(False))
-    hidden = [c for c in compared.columns if c.startswith("__")]
-    return compared.withColumn(reason, F.when(differs, CONFLICT).when(F.col("__copy") > 1, DUPLICATE)).drop(*hidden)
+    columns, ks = frame.columns, [f"__k_{i}" for i in range(len(key))]
+    named = [F.col(k).alias(n) for k, n in zip(key, ks, strict=True)]
+    digest = F.xxhash64(packed(business))
+    several = frame.groupBy(*named).agg(F.count(F.lit(1)).alias("__n"), F.min(digest).alias("__low"), F.max(digest).alias("__high")).filter(F.col("__n") > 1)
+
+    def meet(keys: DataFrame, how: str) -> DataFrame:
+        return frame.join(keys, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(key, ks, strict=True)], how)
+
+    doubtful = meet(several.filter(F.col("__low") == F.col("__high")).select(*ks), "inner")
+    compared = doubtful.groupBy(*ks).agg((~F.min(packed(business)).eqNullSafe(F.max(packed(business)))).alias("__differs"))
+    verdicts = several.filter(F.col("__low") != F.col("__high")).select(*ks, F.lit(True).alias("__differs")).unionByName(compared)
+    alone = meet(several.select(*ks), "left_anti").select(*columns, F.lit(None).cast("string").alias(reason))
+    place = F.row_number().over(Window.partitionBy(*ks).orderBy(F.asc_nulls_last(provenance)))
+    copies = meet(verdicts, "inner").withColumn("__place", place)
+    return alone.unionByName(copies.select(*columns, F.when(F.col("__differs"), CONFLICT).when(F.col("__place") > 1, DUPLICATE).alias(reason)))

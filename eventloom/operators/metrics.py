@@ -27,15 +27,18 @@ def top_n(frame: DataFrame, entity: str, n: int = 10, day: str = "event_date", n
 
 
 def reason_counts(rejected: DataFrame, day: date | str, reasons: tuple[str, ...] = REASONS) -> DataFrame:
-    """Rejected rows by the processing day and reason; an error for rows of another day or domain."""
+    """Rejected rows by the processing day and reason; an error for rows of another day or domain.
+
+    The rows are read once: their counts, as many as there are reasons or there is an error, are judged and returned.
+    """
     types = dict(rejected.dtypes)
     if types.get("event_date") != "date" or types.get("rejection_reason") != "string":
         raise ValueError("rejected rows need a date event_date and a string rejection_reason")
-    today = F.lit(str(day)).cast("date")
-    fine = (F.col("event_date") == today) & F.col("rejection_reason").isin(*reasons)
-    if not rejected.filter(~F.coalesce(fine, F.lit(False))).isEmpty():
+    counted = count_by(rejected, "rejection_reason")
+    found = counted.limit(len(reasons) + 1).collect()
+    if len(found) > len(reasons) or any(str(r.event_date) != str(day) or r.rejection_reason not in reasons for r in found):
         raise ValueError("rejected rows have another day or an unknown reason")
-    return count_by(rejected, "rejection_reason")
+    return rejected.sparkSession.createDataFrame(found, counted.schema)
 
 
 def daily_metrics(clean: DataFrame, n: int = 10) -> dict[str, DataFrame]:
