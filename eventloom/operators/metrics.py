@@ -63,9 +63,13 @@ def repeated_grain(frame: DataFrame, *grain: str) -> DataFrame:
     return frame.groupBy(*grain).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
+def row_json(frame: DataFrame) -> DataFrame:
+    """Each row as one JSON object, nulls included, in the column `value`."""
+    return frame.select(F.to_json(F.struct(*(F.col(f"`{c}`") for c in frame.columns)), {"ignoreNullFields": "false"}).alias("value"))
+
+
 def bounded_bytes(frame: DataFrame, most_rows: int) -> DataFrame:
     """Rows and bytes of the rows' JSON; an error above the bound, found without a full count."""
     if frame.limit(most_rows + 1).count() > most_rows:
         raise ValueError(f"more than {most_rows} rows")
-    text = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    return frame.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).cast("bigint").alias("bytes"))
+    return row_json(frame).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).cast("bigint").alias("bytes"))

@@ -356,6 +356,7 @@ def wide_rows(spark: SparkSession, rows: int, width: int) -> DataFrame:
         F.repeat(F.sha2(n.cast("string"), 256), F.lit(width)).alias("wide"),
         F.lit(None).cast("bigint").alias("pr_number"),
         F.concat(F.lit("file:///"), (n % 2).cast("string")).alias("source_file"),
+        F.crc32(n.cast("string")).alias("checksum"),
     )
 
 
@@ -386,3 +387,21 @@ def q26(spark, sf_dir):
     again = base.filter("n % 5 = 0").withColumn("actor_login", F.when(F.col("n") % 10 == 0, "other").otherwise(F.col("actor_login")))
     both = base.withColumns({"copy": F.lit(0), "source_file": F.lit("a")}).unionByName(again.withColumns({"copy": F.lit(1), "source_file": F.lit("b")}))
     return daily.tag(both, DAY).groupBy("copy", F.col("rejection_reason").alias("outcome")).agg(F.count(F.lit(1)).alias("event_count"))
+
+
+@query(
+    "q27_row_json",
+    "SELECT '{\"event_id\":' || CAST(event_id AS VARCHAR) || ',\"event_type\":\"' || event_type || '\",\"user_id\":' || CAST(user_id AS VARCHAR) || ',\"none\":null}' AS value FROM events",
+)
+def q27(spark, sf_dir):
+    return metrics.row_json(table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", F.lit(None).cast("string").alias("none")))
+
+
+@query(
+    "q28_moments",
+    "SELECT event_id, strftime(date_trunc('second', ts) + INTERVAL 1 SECOND, '%Y-%m-%d %H:%M:%S') AS next_second, CAST(date_trunc('second', ts) - INTERVAL 1 DAY AS DATE) AS day_before FROM events",
+)
+def q28(spark, sf_dir):
+    at = F.to_timestamp(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), "yyyy-MM-dd'T'HH:mm:ss")
+    events = table(spark, sf_dir, "events")
+    return events.select("event_id", F.date_format(at + F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd HH:mm:ss").alias("next_second"), F.to_date(at - F.expr("INTERVAL 1 DAY")).alias("day_before"))

@@ -11,7 +11,7 @@ from pathlib import Path
 
 from ..sources import acquire
 from ..streaming.batches import bounds, day_of, run_days
-from . import export, verify
+from . import export, rivals, verify
 from .jobs import STAGES, Jobs
 from .policy import TARGET_BYTES, ShufflePolicy, session, submit_command
 from .store import Store
@@ -80,6 +80,14 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--compare-root")
     p.add_argument("--manifest")
     p.add_argument("--report")
+    p = commands.add_parser("compare-plain")
+    p.add_argument("--date", type=day_of, required=True)
+    p.add_argument("--plain-root", required=True)
+    p.add_argument("--output-root", required=True)
+    p = commands.add_parser("rivals")
+    p.add_argument("--rows", type=positive, default=150_000)
+    p.add_argument("--width", type=positive, default=32)
+    p.add_argument("--runs", type=positive, default=3)
     p = commands.add_parser("launch", add_help=False)
     p.add_argument("rest", nargs=argparse.REMAINDER)
     return top
@@ -146,6 +154,12 @@ def main(argv: Sequence[str] | None = None) -> int:
         run_acquire(given)
     elif given.command == "expect":
         report(verify.write_expected(given.raw_root, given.date, given.destination))
+    elif given.command == "compare-plain":
+        found = verify.compare_plain(session("eventloom-compare"), given.plain_root, given.output_root, given.date)
+        report(found)
+        return int(not all(found.values()))
+    elif given.command == "rivals":
+        report(rivals.measure(session("eventloom-rivals"), given.rows, given.width, given.runs))
     elif given.command == "validate":
         if not (given.oracle or given.compare_root) or (given.manifest and not given.oracle):
             top.error("validate needs --oracle or --compare-root, and --manifest needs --oracle")

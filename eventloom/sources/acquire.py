@@ -108,6 +108,7 @@ def acquire(day: str, archives: list[Archive], folder: str | Path, manifest: str
     return state
 
 
-def covered(manifest: dict, names: Iterable[str]) -> bool:
-    """Whether the manifest is complete and of exactly these files."""
-    return bool(manifest["complete"]) and sorted(c["url"].rpartition("/")[2] for c in manifest["completed"]) == sorted(names)
+def covered(manifest: dict, found: dict[str, tuple[int, str]]) -> bool:
+    """Whether the manifest is complete and of exactly these files: names, sizes and digests."""
+    told = {c["url"].rpartition("/")[2]: (c["bytes"], c["sha256"]) for c in manifest["completed"]}
+    return bool(manifest["complete"]) and len(told) == len(manifest["completed"]) and told == found

@@ -1,14 +1,16 @@
 """Days, launching, shuffle policy, acquisition, event logs, metrics guards, command line."""
 
+import hashlib
 import io
 import json
+import zlib
 from datetime import date
 
 import pytest
 from feed import DAY, golden
 
 from eventloom.operators import metrics
-from eventloom.plans import cli
+from eventloom.plans import catalog, cli, rivals, verify
 from eventloom.plans.policy import ShufflePolicy, partitions_for, submit_command
 from eventloom.sources import acquire, eventlog
 from eventloom.streaming.batches import bounds, day_of, days, run_days
@@ -63,6 +65,7 @@ def test_shuffle_policy(spark, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     settings = ShufflePolicy(spark, explicit=5).apply("ingest", DAY, tmp_path, tmp_path)
     assert (settings.shuffle_partitions, settings.shuffle_source) == (5, "argument")
+    assert settings.settings["adaptive"] == "true" and settings.settings["advisory_bytes"] and settings.settings["total_executor_cores"] is None
     assert ShufflePolicy(spark).apply("ingest", DAY, tmp_path, tmp_path).shuffle_source == "launcher"  # the test session sets it at start
     spark.conf.set("spark.sql.shuffle.partitions", before)
 
@@ -89,7 +92,11 @@ def test_acquisition(tmp_path):
     acquire.check_plan(archives, DAY, [0, 5], url)
     state = acquire.acquire(DAY, archives, tmp_path / "raw", tmp_path / "m.json", open_url=web, pause=0)
     assert state["complete"] and web.gets == 4 and json.loads((tmp_path / "m.json").read_text()) == state
-    assert acquire.covered(state, [a.name for a in archives]) and not acquire.covered(state, ["x"])
+    there = {p.name: (p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in (tmp_path / "raw").iterdir()}
+    assert acquire.covered(state, there)
+    name = archives[0].name
+    for other in ({}, {"x": (1, "y")}, there | {"x": (1, "y")}, there | {name: (300, "0" * 64)}, there | {name: (299, there[name][1])}):
+        assert not acquire.covered(state, other)
     again = acquire.acquire(DAY, archives, tmp_path / "raw", tmp_path / "m.json", open_url=web, pause=0)
     assert all(c["reused"] for c in again["completed"]) and web.gets == 4
     for told in (299, 301):
@@ -134,6 +141,27 @@ def test_metric_guards(spark):
     assert metrics.bounded_bytes(frame, 2).first().rows == 2
 
 
+def test_bounds_of_the_expectation_in_memory(tmp_path):
+    golden(tmp_path / "raw")
+    assert {n: len(r) for n, r in verify.expected(tmp_path / "raw", DAY).items()}["ingested"] == 13
+    for how in ({"most_rows": 12}, {"most_bytes": 100}, {"most_rows": 0}, {"most_bytes": 0}):
+        with pytest.raises(ValueError):
+            verify.expected(tmp_path / "raw", DAY, **how)
+    assert len(verify.expected(tmp_path / "raw", DAY, most_rows=13)["ingested"]) == 13
+
+
+def test_row_json_and_checksums(spark):
+    frame = spark.createDataFrame([(1, None, "a"), (2, 0.5, 'é"')], "n int, x double, s string")
+    assert [json.loads(r.value) for r in metrics.row_json(frame).collect()] == [{"n": 1, "x": None, "s": "a"}, {"n": 2, "x": 0.5, "s": 'é"'}]
+    rows = catalog.wide_rows(spark, 100, 2).select("n", "checksum").collect()
+    assert all(r.checksum == zlib.crc32(str(r.n).encode()) for r in rows)
+
+
+def test_rivals(spark):
+    found = rivals.measure(spark, rows=600, width=2, runs=1, partitions=(2,))
+    assert found["same_rows"] and set(found["seconds"]["2"]) == set(rivals.VARIANTS)
+
+
 def test_command_line(tmp_path, capsys):
     for argv in (
         ["ingest"], ["ingest", "--date", "2025-6-1"], ["ingest", "--date", DAY, "--from-stage", "aggregate"], ["pipeline", "--date", DAY, "--top-n", "0"], ["pipeline", "--date", DAY, "--raw-root", " "],

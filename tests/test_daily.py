@@ -1,10 +1,12 @@
 """Whole days against golden numbers and the independent expectation."""
 
+import hashlib
 import itertools
 import json
 
 import pytest
 from feed import DAY, NEXT, copied, edges, golden, put
+from pyspark.sql import functions as F
 
 from eventloom.functions.contracts import DATASETS
 from eventloom.operators.compare import differences, fingerprint, same_rows
@@ -56,6 +58,30 @@ def test_the_independent_expectation(spark, tmp_path, make, clean, rejected):
     assert not verify.validate_day(spark, tmp_path / "out", DAY, tmp_path / "expected")["passed"]
 
 
+def test_validation_looks_at_contents(spark, tmp_path):
+    """Sources by size and digest; outcomes by a recount; old layouts by their rows."""
+    golden(tmp_path / "raw")
+    jobs(spark, tmp_path).run("pipeline", DAY)
+    verify.write_expected(tmp_path / "raw", DAY, tmp_path / "expected")
+    files = [p for p in (tmp_path / "raw").iterdir() if p.name.startswith(DAY)]
+    done = [{"url": f"https://x/{p.name}", "bytes": p.stat().st_size, "sha256": hashlib.sha256(p.read_bytes()).hexdigest()} for p in files]
+    validate = lambda **how: verify.validate_day(spark, tmp_path / "out", DAY, tmp_path / "expected", **how)
+    found = validate(manifest={"complete": True, "completed": done})
+    assert found["passed"] and found["profile"]["bots"] == {"False": 6, "True": 2} and found["files"]["clean"]["most_bytes"] >= found["files"]["clean"]["least_bytes"] > 0
+    files[0].write_bytes(files[0].read_bytes()[:-1] + b"x")
+    assert not validate(manifest={"complete": True, "completed": done})["checks"]["sources"]
+    for name in DATASETS:
+        read_day(spark, tmp_path / "out" / name, DAY).write.partitionBy("event_date").parquet(str(tmp_path / "plain" / name))
+    assert verify.compare_plain(spark, tmp_path / "plain", tmp_path / "out", DAY) == dict.fromkeys(DATASETS, True)
+    # A rejected row whose reason is swapped for another keeps all totals of rows.
+    rejected = read_day(spark, tmp_path / "out" / "rejected", DAY)
+    swapped = rejected.withColumn("rejection_reason", F.when(F.col("rejection_reason") == "outside_date", "corrupt_json").otherwise(F.col("rejection_reason")))
+    spark.createDataFrame(swapped.collect(), rejected.schema).transform(lambda f: write_day(f, tmp_path / "out" / "rejected", DAY) and f)
+    checks = validate()["checks"]
+    assert not checks["rejected: recount"] and not checks["rejection_counts: recount"] and checks["ingested = clean + rejected"]
+    assert not verify.compare_plain(spark, tmp_path / "plain", tmp_path / "out", DAY)["rejected"]
+
+
 def test_outcomes_do_not_depend_on_order(spark, tmp_path):
     copied(tmp_path / "raw")
     seen = ingest(spark, tmp_path / "raw", DAY).cache()
