@@ -43,6 +43,8 @@ EQUAL_TOKENS = 0.75
 LEAST_GENERAL = 4
 #: Leaves and templates (one or two longs each) are broadcast up to this number, 8 MB.
 BROADCAST_HASHES = 500_000
+#: Places of lines to be read again (about 200 bytes each with their documents) are broadcast up to this number.
+BROADCAST_PLACES = 100_000
 
 WILDCARD = "<*>"
 VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
@@ -87,7 +89,7 @@ def tokens_at(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) ->
     """line, at and tokens (hashes) of the lines of `wanted` (line, at), read again from their texts."""
     places = wanted.groupBy(F.col("at.doc_id").alias("of")).agg(F.collect_set(F.struct("at.pos", "line")).alias("places"))
     places = materialize(places, "lines-places")
-    few = (places.agg(F.sum(F.size("places"))).first()[0] or 0) <= BROADCAST_HASHES
+    few = (places.agg(F.sum(F.size("places"))).first()[0] or 0) <= BROADCAST_PLACES
     texts = docs.select(F.col(id_col).alias("doc_id"), F.split(F.col(text_col), "\n").alias("all"))
     texts = texts.join(F.broadcast(places) if few else places, F.col("doc_id") == F.col("of"))
     rows = texts.select("doc_id", F.explode("places").alias("place"), "all").select("doc_id", "place.*", F.get("all", F.col("place.pos")).alias("raw"))
