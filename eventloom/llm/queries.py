@@ -15,7 +15,7 @@ from .pages import op8_pages
 from .pii import op3_pii
 from .quality import op1_quality, op1_sql
 from .secrets import op6_secrets
-from .simhash import op4_simhash
+from .simhash import op4_simhash, op4_sql
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -34,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality": op1_sql(), "op2_lines": OP2_SQL}
+    return {"op1_quality": op1_sql(), "op2_lines": OP2_SQL, "op4_simhash": op4_sql()}

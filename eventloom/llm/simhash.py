@@ -25,6 +25,7 @@ result rows; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import string
 from itertools import combinations
 
 import numpy as np
@@ -289,3 +290,75 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", t
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# The primes of XXH64.
+PRIMES = (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
+
+
+def op4_sql() -> str:
+    """The same rows in plain SQL: XXH64 in unsigned arithmetic of 128 bits, all pairs of fingerprints, recursion."""
+    p1, p2, p3, p4, p5 = PRIMES
+
+    def big(n: int) -> str:
+        return f"{n % (1 << 64)}::UHUGEINT"
+
+    def wrap(expression: str) -> str:
+        return f"(({expression}) % {1 << 64}::UHUGEINT)"
+
+    def times(a: str, n: int) -> str:
+        return wrap(f"({a}) * {big(n)}")
+
+    def turned(x: str, by: int) -> str:
+        return f"({times(x, 1 << by)} + {x} // {big(1 << (64 - by))})"
+
+    def bound(value: str, body: str) -> str:
+        """`body` with x as the value: what it names twice is computed once."""
+        return f"list_transform([{value}], lambda x: {body})[1]"
+
+    def mixed(state: str, lane: str) -> str:
+        return bound(wrap(f"{state} + {times(lane, p2)}"), times(turned("x", 31), p1))
+
+    def read(at: str, size: int) -> str:
+        """`size` bytes, the least first, from byte `at` of the hexadecimal digits d."""
+        return "('0x' || " + " || ".join(f"substr(d, 2 * ({at}) + {2 * k + 1}, 2)" for k in reversed(range(size))) + ")::UBIGINT::UHUGEINT"
+
+    def lanes(many: str, at: str, size: int) -> str:
+        return f"list_transform(range({many}), lambda i: {read(at, size)})"
+
+    def folded(first: str, values: str, step: str) -> str:
+        return f"list_reduce(list_prepend({first}, {values}), lambda h, k: {step})"
+
+    def shifted(h: str, by: int) -> str:
+        return f"xor({h}, {h} // {big(1 << by)})"
+
+    stripes = ", ".join(folded(big(s), lanes("n // 32", f"32 * i + {8 * j}", 8), mixed("h", "k")) for j, s in enumerate((SEED + p1 + p2, SEED + p2, SEED, SEED - p1)))
+    gathered = wrap(" + ".join(turned(f"v[{j + 1}]", by) for j, by in enumerate((1, 7, 12, 18))))
+    merged = wrap(f"{times('xor(h, ' + mixed(big(0), 'k') + ')', p1)} + {big(p4)}")
+    eight = bound(f"xor(h, {mixed(big(0), 'k')})", wrap(f"{times(turned('x', 27), p1)} + {big(p4)}"))
+    four = bound(f"xor(h, {times(read('n // 8 * 8', 4), p1)})", wrap(f"{times(turned('x', 23), p2)} + {big(p3)}"))
+    one = bound(f"xor(h, {times('k', p5)})", times(turned("x", 11), p1))
+    bits = " + ".join(f"CASE WHEN 2 * sum((h >> {b}) & 1) > count(*) THEN {big(1 << b)} ELSE 0 END" for b in range(64))
+    return f"""
+WITH RECURSIVE numbered AS (
+  SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+), shingles AS (
+  SELECT r, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(len(w) - 3), lambda i: array_to_string(w[i + 1 : i + 4], ' ')) END) AS s FROM numbered
+), given AS (SELECT DISTINCT s, hex(encode(s)) AS d, strlen(s) AS n FROM shingles
+), striped AS (SELECT *, CASE WHEN n >= 32 THEN [{stripes}] END AS v FROM given
+), begun AS (SELECT s, d, n, CASE WHEN n < 32 THEN {big(SEED + p5)} ELSE {folded(gathered, "v", merged)} END AS h FROM striped
+), sized AS (SELECT s, d, n, {wrap("h + n::UHUGEINT")} AS h FROM begun
+), eights AS (SELECT s, d, n, {folded("h", lanes("n % 32 // 8", "n // 32 * 32 + 8 * i", 8), eight)} AS h FROM sized
+), fours AS (SELECT s, d, n, CASE WHEN n % 8 >= 4 THEN {four} ELSE h END AS h FROM eights
+), ones AS (SELECT s, {folded("h", lanes("n % 4", "n // 4 * 4 + i", 1), one)} AS h FROM fours
+), spread AS (SELECT s, {times(shifted("h", 33), p2)} AS h FROM ones
+), again AS (SELECT s, {times(shifted("h", 29), p3)} AS h FROM spread
+), hashed AS (SELECT s, ({shifted("h", 32)})::UBIGINT AS h FROM again
+), majority AS (SELECT r, {bits} AS fp FROM shingles JOIN hashed USING (s) GROUP BY r
+), prints AS (SELECT doc_id, coalesce(fp, 0)::UBIGINT AS fp FROM numbered LEFT JOIN majority USING (r)
+), kinds AS (SELECT fp, min(doc_id) AS rep FROM prints WHERE doc_id IS NOT NULL GROUP BY fp
+), links AS (SELECT a.fp AS u, b.rep AS v, b.fp AS w FROM kinds a JOIN kinds b ON a.fp <> b.fp AND bit_count(xor(a.fp, b.fp)::HUGEINT) <= {RADIUS}
+), reach AS (SELECT u, v, w FROM links UNION SELECT reach.u, links.v, links.w FROM reach JOIN links ON reach.w = links.u
+), roots AS (SELECT fp, least(rep, coalesce(min(v), rep)) AS root FROM kinds LEFT JOIN reach ON u = fp GROUP BY fp, rep)
+SELECT doc_id, printf('%016x', prints.fp) AS fingerprint, CASE WHEN doc_id IS NOT NULL THEN root END AS component_id FROM prints LEFT JOIN roots USING (fp)
+"""
