@@ -14,7 +14,7 @@ from .packing import op9_packing
 from .pages import op8_pages
 from .pii import op3_pii
 from .quality import op1_quality, op1_sql
-from .secrets import op6_secrets
+from .secrets import op6_secrets, op6_sql
 from .simhash import op4_simhash, op4_sql
 
 
@@ -34,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality": op1_sql(), "op2_lines": OP2_SQL, "op4_simhash": op4_sql()}
+    return {"op1_quality": op1_sql(), "op2_lines": OP2_SQL, "op4_simhash": op4_sql(), "op6_secrets": op6_sql()}

@@ -161,3 +161,57 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     of = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("spans", lambda s: s.kind.isin(*KINDS[:3]))
     return found.select("doc_id", *(of(k) for k in KINDS[:3]), F.sha2(as_text(base), 256).alias("base_sha256"), as_text(F.col("spans")).alias("spans"))
+
+
+def op6_sql() -> str:
+    """The same rows by whole-text expressions: places from the pieces between matches, checksums in plain arithmetic."""
+    words = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+    white = r"\x09-\x0D\x1C-\x20"
+    whole = {
+        "assign": rf"""(?:{words})[\"\x27]?\x20*[:=]\x20*[\"\x27]?([A-Za-z0-9+/_.=-]+)""",
+        "access": "AKIA[A-Z0-9]+",
+        "hex": "[0-9a-f]{24,}",
+        "jwt": r"(eyJ[A-Za-z0-9_-]*)(?:\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)?",
+        "private_key": rf"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----([A-Za-z0-9+/={white}]+)-----END (?:[A-Z]+ )?PRIVATE KEY-----",
+        # Only where a token may begin: what follows is read from the text.
+        "github": "gh[pousr]_",
+        "npm": "npm_",
+    }
+    found = " UNION ALL ".join(f"SELECT r, '{k}' AS kind, regexp_extract_all(t, '{e}') AS m, regexp_split_to_array(t, '{e}') AS p FROM texts WHERE regexp_matches(t, '{e}')" for k, e in whole.items())
+    shift = "CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END"
+    crc = f"list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(30), lambda i: ascii(body[i + 1])::UBIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda j: 0::UBIGINT)), lambda v, z: {shift}))"
+    digits = " || ".join(f"'{BASE62}'[(crc // {62**k} % 62)::BIGINT + 1]" for k in reversed(range(6)))
+    header = "regexp_extract(m, '^eyJ[A-Za-z0-9_-]*')"
+    decoded = f"try(decode(from_base64(translate({header}, '-_', '+/') || repeat('=', (4 - length({header}) % 4) % 4))))"
+    body = f"regexp_replace(regexp_extract(m, '{whole['private_key']}', 1), '[{white}]', '', 'g')"
+    size = "('0x' || substr(der, 3, 2))::INTEGER"
+    stated = f"ltrim(substr(der, 5, 2 * ({size} - 128)), '0')"
+    sequence = f"der[1:2] = '30' AND length(der) >= 8 AND CASE WHEN {size} < 128 THEN length(der) // 2 = 2 + {size} ELSE length({stated}) < 15 AND length(der) // 2 = 2 + {size} - 128 + coalesce(try_cast('0x' || nullif({stated}, '') AS BIGINT), 0) END"
+    order = " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(KINDS))
+    base = ", ".join(f"'{k}'" for k in KINDS[:3])
+    return f"""
+WITH texts AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents
+), found AS ({found}
+), numbered AS (SELECT r, kind, unnest(range(1, len(m) + 1)) AS i, unnest(m) AS m, unnest(p[1:len(m)]) AS p FROM found
+), placed AS (SELECT r, kind, m, CAST(sum(length(p) + length(m)) OVER (PARTITION BY r, kind ORDER BY i) - length(m) AS BIGINT) AS s FROM numbered
+), tokens AS (
+  SELECT r, kind, s, substr(t, s + 1 + length(m), 36) AS body FROM placed JOIN texts USING (r)
+  WHERE kind IN ('github', 'npm') AND regexp_matches(substr(t, s + 1 + length(m), 37), '^[A-Za-z0-9]{{36}}(?:[^A-Za-z0-9]|$)')
+), apart AS (
+  -- A token may begin in the last three characters of another: of such a chain, every second one is a match.
+  SELECT *, row_number() OVER (PARTITION BY r, kind, chain ORDER BY s) AS k FROM (
+    SELECT *, sum(new) OVER (PARTITION BY r, kind ORDER BY s) AS chain FROM (
+      SELECT *, CASE WHEN s - lag(s) OVER (PARTITION BY r, kind ORDER BY s) < length(body) + 4 THEN 0 ELSE 1 END AS new FROM tokens))
+), summed AS (SELECT r, kind, s, body, xor({crc}, 4294967295::UBIGINT) AS crc FROM apart WHERE k % 2 = 1
+), keys AS (SELECT r, kind, s, m, hex(try(from_base64({body}))) AS der FROM placed WHERE kind = 'private_key'
+), spans AS (
+  SELECT r, kind, s, s + length(m) AS e FROM placed WHERE CASE kind WHEN 'assign' THEN length(regexp_extract(m, '{whole["assign"]}', 1)) >= 6 WHEN 'access' THEN length(m) >= 20 ELSE kind = 'hex' END
+  UNION ALL SELECT r, kind, s, s + 40 FROM summed WHERE {digits} = body[31:36]
+  UNION ALL SELECT r, kind, s, s + length(m) FROM placed WHERE kind = 'jwt' AND contains(m, '.') AND coalesce(try(json_type({decoded}) = 'OBJECT' AND json_exists({decoded}, '$.alg')), false)
+  UNION ALL SELECT r, kind, s, s + length(m) FROM keys WHERE starts_with(der, hex(encode('openssh-key-v1')) || '00') OR ({sequence})
+), joined AS (
+  SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, CASE kind {order} END) FILTER (kind IN ({base})) AS base, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, CASE kind {order} END) AS spans FROM spans GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM texts LEFT JOIN joined USING (r)
+"""

@@ -1,9 +1,11 @@
 """Secret scans against the plain expressions, and planted formats."""
 
+import hashlib
 import random
 import re
 import time
 
+import duckdb
 import pytest
 
 from eventloom.llm import secrets as S
@@ -66,3 +68,28 @@ def test_edges(spark):
     got = sorted(((r.doc_id, [tuple(s) for s in r.spans]) for r in S.secrets(frame).collect()), key=str)
     assert got == sorted(((i, S.scan(t)) for i, t in rows), key=str)
     assert S.secrets(frame.limit(0)).count() == 0
+
+
+def test_the_sql_twin_on_planted_formats():
+    """Tokens in chains, headers and keys, good and bad, among letters of other scripts."""
+    rng = random.Random(8)
+    token = lambda body: body + S.crc_base62(body)
+    bodies = [token("".join(rng.choice(S.BASE62) for _ in range(30))) for _ in range(4)]
+    chained = next(b for n in range(1 << 21) if (b := token(f"{n:030d}"))[-3:] == "ghp")
+    keys = ["MAMCAQA=", "MIGC" + "A" * 172 + "AA==", "MIGD" + "A" * 172 + "AA==", "MIEAAAAA", "b3BlbnNzaC1rZXktdjEAAAA=", "MAM=", "MQMCAQA=", "MAMC\x1cAQA=", "MAMC*AQA="]
+    parts = [f"gh{rng.choice('pousr')}_{b}" for b in bodies] + [f"npm_{b}" for b in bodies[:2]] + [f"ghp_{chained}", "_", f"_{bodies[0]}", f"ghp_{bodies[0][:-1]}x"]
+    parts += [f"-----BEGIN {kind}PRIVATE KEY-----\n{k}\n-----END {kind}PRIVATE KEY-----" for k in keys for kind in ("", "RSA ")]
+    parts += ["eyJhbGciOiJIUzI1NiJ9.e30.c2ln", "eyJhbGciOiJIUzI1NiJ9.e30", "eyJ4IjoxfQ.e30.c2ln", "eyJh.b.c", "eyJ", "é", "😀", " ", "\n", "password='", "ſecret: ", "abcdef012345", "AKIA", "AKIA" + "Q7" * 8, "-"]
+    texts = [None, "", *("".join(rng.choice(parts) + rng.choice(["", "", " "]) for _ in range(rng.randint(1, 8))) for _ in range(3000)), f"ghp_{chained}_{bodies[1]} ghp_{bodies[2]}"]
+    with duckdb.connect() as connection:
+        connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+        connection.execute("INSERT INTO documents SELECT unnest($i), unnest($t)", {"i": list(range(len(texts))), "t": texts})
+        got = connection.execute(S.op6_sql()).fetchall()
+    expected = []
+    for i, text in enumerate(texts):
+        spans = S.scan(text)
+        base = [s for s in spans if s[0] in PLAIN]
+        expected.append((i, *(sum(s[0] == k for s in spans) for k in PLAIN), hashlib.sha256(S.joined(base).encode()).hexdigest(), S.joined(spans)))
+    wrong = [(texts[a[0]], a, b) for a, b in zip(sorted(got), expected, strict=True) if a != b]
+    assert not wrong, wrong[:2]
+    assert {k for e in expected for k in S.KINDS if f"{k}:" in e[-1]} == set(S.KINDS)
