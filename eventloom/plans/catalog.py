@@ -6,17 +6,21 @@ becomes a raw event, and defects come from arithmetic on its id, written the sam
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from datetime import date
 
+import duckdb
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import first_of, has_suffix, lookup
 from ..functions.contracts import CATEGORIES
 from ..operators import compare, copies, daily, metrics, rules
-from ..sources import events, published
+from ..sources import events, footers, published
 from ..sources.scratch import local_path, scratch
+from .export import export_day, verify_export
+from .jobs import Jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,8 +51,8 @@ def every(n: int) -> Column:
     return F.col("event_id") % n == 0
 
 
-def raw_json(spark: SparkSession, sf_dir: str, broken_every: int | None = None) -> DataFrame:
-    """Write the events as gzip JSON Lines and scan them; what the scan found is written before it is judged."""
+def raw_lines(spark: SparkSession, sf_dir: str, broken_every: int | None = None) -> str:
+    """Write the events as gzip JSON Lines, some of them cut off; returns the folder."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     payload = F.struct(
         F.lit("opened").alias("action"),
@@ -68,9 +72,15 @@ def raw_json(spark: SparkSession, sf_dir: str, broken_every: int | None = None)
     )
     if broken_every:
         line = F.when(every(broken_every), F.substring(line, 1, 30)).otherwise(line)
-    folder, seen = scratch(spark, "raw-json"), scratch(spark, "ingested")
+    folder = scratch(spark, "raw-json")
     table(spark, sf_dir, "events").select(line.alias("value")).write.option("compression", "gzip").text(folder)
-    events.normalise(events.scan(spark, [folder]), DAY).write.parquet(seen)
+    return folder
+
+
+def raw_json(spark: SparkSession, sf_dir: str, broken_every: int | None = None) -> DataFrame:
+    """Scan the written events; what the scan found is written before it is judged."""
+    seen = scratch(spark, "ingested")
+    events.normalise(events.scan(spark, [raw_lines(spark, sf_dir, broken_every)]), DAY).write.parquet(seen)
     return spark.read.parquet(seen)
 
 
@@ -337,13 +347,21 @@ def q23(spark, sf_dir):
     return spark.read.schema(ranking.schema).options(**form, multiLine="true").csv(folder)
 
 
+#: CRC-32 of a number's digits, bit by bit.
+CRC32_SQL = (
+    "CAST(xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(range AS VARCHAR), ''), lambda x: ascii(x)::UBIGINT)), lambda c, b: "
+    "list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda j: 0::UBIGINT)), lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END)), 4294967295::UBIGINT) AS BIGINT)"
+)
+
+
 @query(
     "q24_synthetic",
     "SELECT range AS n, CASE WHEN range % 100 < 3 THEN 'duplicate-' || CAST(range // 3 AS VARCHAR) ELSE 'unique-' || CAST(range AS VARCHAR) END AS event_id, "
-    "repeat(sha256(CAST(range AS VARCHAR)), 2) AS wide, CAST(128 AS INTEGER) AS width, CAST(NULL AS BIGINT) AS pr_number, 'file:///' || CAST(range % 2 AS VARCHAR) AS source_file FROM range(30000)",
+    "repeat(sha256(CAST(range AS VARCHAR)), 2) AS wide, CAST(128 AS INTEGER) AS width, CAST(NULL AS BIGINT) AS pr_number, 'file:///' || CAST(range % 2 AS VARCHAR) AS source_file, "
+    f"{CRC32_SQL} AS checksum FROM range(30000)",
 )
 def q24(spark, sf_dir):
-    return wide_rows(spark, 30_000, 2).select("n", "event_id", "wide", F.length("wide").alias("width"), "pr_number", "source_file")
+    return wide_rows(spark, 30_000, 2).select("n", "event_id", "wide", F.length("wide").alias("width"), "pr_number", "source_file", "checksum")
 
 
 def wide_rows(spark: SparkSession, rows: int, width: int) -> DataFrame:
@@ -405,3 +423,58 @@ def q28(spark, sf_dir):
     at = F.to_timestamp(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), "yyyy-MM-dd'T'HH:mm:ss")
     events = table(spark, sf_dir, "events")
     return events.select("event_id", F.date_format(at + F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd HH:mm:ss").alias("next_second"), F.to_date(at - F.expr("INTERVAL 1 DAY")).alias("day_before"))
+
+
+#: Each table of an export in one shape: what is counted, its place in a ranking, and the count.
+EXPORTED = {
+    "event_counts": "event_type || ' ' || event_hour || ' ' || is_bot",
+    "daily_volume": "CAST(event_date AS VARCHAR)",
+    "top_repositories": "repo_name",
+    "top_actors": "actor_login",
+    "rejection_counts": "rejection_reason",
+}
+
+
+@query(
+    "q29_day_to_export",
+    f"""WITH {RAW_SQL}, judged AS (
+  SELECT *, CASE WHEN event_id % 50 = 0 THEN 'corrupt_json' WHEN type = 'ForkEvent' THEN 'unsupported_event_type' WHEN CAST(ts AS DATE) <> DATE '{DAY}' THEN 'outside_date' END AS reason FROM raw
+), clean AS (SELECT * FROM judged WHERE reason IS NULL
+), repositories AS (SELECT repo_name AS name, row_number() OVER (ORDER BY count(*) DESC, repo_name) AS place, count(*) AS n FROM clean GROUP BY repo_name
+), actors AS (SELECT actor_login AS name, row_number() OVER (ORDER BY count(*) DESC, actor_login) AS place, count(*) AS n FROM clean GROUP BY actor_login
+)
+SELECT 'event_counts' AS dataset, type || ' ' || hour(ts) || ' false' AS name, CAST(NULL AS INTEGER) AS rank, count(*) AS event_count FROM clean GROUP BY ALL
+UNION ALL SELECT 'daily_volume', '{DAY}', NULL, count(*) FROM clean HAVING count(*) > 0
+UNION ALL SELECT 'top_repositories', name, CAST(place AS INTEGER), n FROM repositories WHERE place <= 10
+UNION ALL SELECT 'top_actors', name, CAST(place AS INTEGER), n FROM actors WHERE place <= 10
+UNION ALL SELECT 'rejection_counts', reason, NULL, count(*) FROM judged WHERE reason IS NOT NULL GROUP BY reason""",
+)
+def q29(spark, sf_dir):
+    """A whole day: hourly archives, all stages, the export and its check; the rows are those of the database."""
+    raw, out = local_path(raw_lines(spark, sf_dir, 50)), local_path(scratch(spark, "day"))
+    for hour, name in enumerate(sorted(n for n in os.listdir(raw) if n.endswith(".gz"))):
+        os.rename(f"{raw}/{name}", f"{raw}/{DAY}-{hour}.json.gz")
+    # Stages set the shuffle of their session: that of the caller stays.
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    Jobs(own, raw, out).run("pipeline", DAY)
+    export_day(out, DAY, f"{out}/csv", f"{out}/metrics.duckdb")
+    verify_export(out, f"{out}/csv", f"{out}/metrics.duckdb", DAY)
+    rows = []
+    with duckdb.connect(f"{out}/metrics.duckdb", read_only=True) as connection:
+        for name, shown in EXPORTED.items():
+            place = "rank" if name.startswith("top_") else "NULL"
+            rows += connection.execute(f"SELECT '{name}', {shown}, {place}, event_count FROM {name}").fetchall()
+    return spark.createDataFrame(rows, "dataset string, name string, rank int, event_count bigint")
+
+
+@query("q30_footer_rows", f"WITH {WEEKS_SQL} SELECT CAST(event_date AS VARCHAR) AS day, count(*) AS rows, true AS sized FROM weeks GROUP BY event_date")
+def q30(spark, sf_dir):
+    """Rows of each published day from the footers of its files, without reading a row."""
+    root = local_path(scratch(spark, "store"))
+    published.write_days(weeks(spark, sf_dir), root)
+    found = []
+    for day, state in published.store(spark, root).resolve_all().items():
+        sizes = footers.volume(state.files)
+        found.append((day, footers.rows_in(state.files), 0 < sizes["least_bytes"] <= sizes["most_bytes"] <= sizes["file_bytes"] and sizes["uncompressed_bytes"] > 0))
+    return spark.createDataFrame(found, "day string, rows bigint, sized boolean")
