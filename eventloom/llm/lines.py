@@ -14,8 +14,8 @@ document except the one with the smallest doc_id that has it, so that one copy o
 passage stays. Counts cover all documents.
 
 One pass over the texts writes ids and hashes of lines and leaves to the shared folder; exact lines are
-64-bit hashes of masked lines. The tokens of a leaf's different lines, which are few, are read again
-from the texts that have them first. The runs decide most comparisons, as equal runs are equal tokens
+64-bit hashes of masked lines. The tokens of the different lines of crowded leaves, which are few, come
+from a second pass, which meets the leaves where the texts are and moves each line once a task. The runs decide most comparisons, as equal runs are equal tokens
 and a differing run has one differing token at least. Counts are aggregated before they are shuffled, and the lines' joins have one row for
 each template on their other side, so a template that a third of all lines share is split like
 any skewed join.
@@ -43,13 +43,15 @@ EQUAL_TOKENS = 0.75
 LEAST_GENERAL = 4
 #: Leaves and templates (one or two longs each) are broadcast up to this number, 8 MB.
 BROADCAST_HASHES = 500_000
-#: Places of lines to be read again (about 200 bytes each with their documents) are broadcast up to this number.
-BROADCAST_PLACES = 100_000
 
 WILDCARD = "<*>"
 VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 
 
+def mask(token: Column) -> Column:
+    return F.when(token.rlike("[0-9@]"), WILDCARD).otherwise(token)
+
+
 def masked(line: Column) -> Column:
     return F.when(line.rlike("[0-9@]"), F.regexp_replace(line, VARIABLE, WILDCARD)).otherwise(line)
 
@@ -85,18 +87,22 @@ def hashes(frame: DataFrame, label: str) -> DataFrame:
     return F.broadcast(written) if written.count() <= BROADCAST_HASHES else written
 
 
-def tokens_at(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """line, at and tokens (hashes) of the lines of `wanted` (line, at), read again from their texts."""
-    places = wanted.groupBy(F.col("at.doc_id").alias("of")).agg(F.collect_set(F.struct("at.pos", "line")).alias("places"))
-    places = materialize(places, "lines-places")
-    few = (places.agg(F.sum(F.size("places"))).first()[0] or 0) <= BROADCAST_PLACES
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.split(F.col(text_col), "\n").alias("all"))
-    texts = texts.join(F.broadcast(places) if few else places, F.col("doc_id") == F.col("of"))
-    rows = texts.select("doc_id", F.explode("places").alias("place"), "all").select("doc_id", "place.*", F.get("all", F.col("place.pos")).alias("raw"))
-    split = rows.filter("raw IS NOT NULL").select("line", F.struct("doc_id", "pos").alias("at"), tokens_of(masked(F.col("raw"))).alias("w"))
-    # A doc_id may have several texts: only that with the line counts.
-    split = split.filter(F.xxhash64("w") == F.col("line")).select("line", "at", F.transform("w", lambda x: F.hash(x)).alias("tokens"))
-    return materialize(split.groupBy("line").agg(F.first("at").alias("at"), F.first("tokens").alias("tokens")), "lines-tokens")
+def leaf_of(words: Column) -> Column:
+    """The leaf of a line from its unmasked words; zero for lines that are not generalised.
+
+    It is never null, as a filter on nulls would split every line once more.
+    """
+    lead = F.transform(F.slice(words, 1, LEAD), mask)
+    return F.when(F.size(words) >= LEAST_GENERAL, F.xxhash64(F.size(words), lead)).otherwise(F.lit(0).cast("long"))
+
+
+def tokens_of_leaves(docs: DataFrame, id_col: str, text_col: str, known: DataFrame) -> DataFrame:
+    """line and tokens (hashes) of the different lines in the leaves `known`: the texts are read again, and not moved."""
+    rows = docs.filter(F.col(id_col).isNotNull()).select(F.explode(F.split(F.col(text_col), "\n")).alias("raw"))
+    split = rows.select(tokens_of(F.col("raw")).alias("words")).select("words", leaf_of(F.col("words")).alias("leaf"))
+    inside = split.join(known, "leaf", "left_semi").select(F.transform("words", mask).alias("w"))
+    lines = inside.select(F.xxhash64("w").alias("line"), F.transform("w", lambda x: F.hash(x)).alias("tokens"))
+    return lines.groupBy("line").agg(F.first("tokens").alias("tokens"))
 
 
 def generalise(docs: DataFrame, id_col: str, text_col: str, lines: DataFrame, min_docs: int) -> DataFrame:
@@ -104,7 +110,7 @@ def generalise(docs: DataFrame, id_col: str, text_col: str, lines: DataFrame, mi
     leaves = lines.filter("leaf IS NOT NULL").groupBy("leaf").agg(F.count(F.lit(1)).alias("c"), F.min("line").alias("a"), F.max("line").alias("b"))
     known = hashes(leaves.filter((F.col("c") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf"), "lines-leaves")
     distinct = lines.filter(F.col("doc_id").isNotNull()).join(known, "leaf", "left_semi").groupBy("line").agg(F.min(F.struct("doc_id", "pos")).alias("at"))
-    tokens = tokens_at(docs, id_col, text_col, distinct)
+    tokens = materialize(tokens_of_leaves(docs, id_col, text_col, known).join(distinct, "line"), "lines-tokens")
     n = F.size("tokens")
     leaf = F.xxhash64(n, F.slice("tokens", 1, LEAD))
     runs = F.array(*(F.when(n - LEAD > k, F.xxhash64(F.slice("tokens", edge(n - LEAD, k) + LEAD + 1, edge(n - LEAD, k + 1) - edge(n - LEAD, k)))) for k in range(RUNS)))
