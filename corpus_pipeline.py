@@ -48,7 +48,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each component of near copies (five-word shingles, 0.8)."""
+    """Keep the document with the smallest doc_id of each component of near copies.
+
+    Fingerprints compared bit-sliced give the groups, as in op4; the exact similarity (five-word shingles, 0.8) is checked in them.
+    """
     rows, doc_id, text = numbered(docs), F.col(place(docs, "doc_id")), F.col(place(docs, "text"))
     found = nearcopies.near_copies(docs.select("doc_id", "text"))
     # Ids and hashes only: the texts are not shuffled. Rows that are there several times are taken apart.

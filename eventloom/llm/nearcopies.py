@@ -3,11 +3,17 @@
 Two texts are linked if the sets of their SHINGLE-word shingles have a Jaccard similarity of
 SIMILARITY or more; a component is what links connect.
 
-Candidates: texts with one set are one node. BANDS groups of BAND_ROWS min-hashes are the
-buckets of a node; a pair at the similarity shares none of them with a chance below 1e-7, and
-less above it. Nodes that buckets connect form a group.
-
-Comparison: the sets of a group's nodes are compared exactly. Starting at a node, the nodes
+Groups: texts with one set are one node. The method is that of `simhash`: a node's fingerprint
+is the majority bits of its shingles' hashes, WORDS times 64 of them; fingerprints are compared
+bit-sliced in buckets, those that differ in RADIUS bits or fewer are linked, and star contraction
+makes the links' components the groups. A bit differs with a chance of 0.1875 at most at the
+similarity (four shingles and one more; near 0.15 for long texts), so a pair at the similarity is
+beyond the radius with a chance below 1e-7. Its buckets are pairs of blocks of the fingerprint's
+first word, as in `simhash`, which two texts share for certain if that word differs in four bits
+or fewer, and, for all other pairs, BANDS groups of BAND_ROWS min-hashes, of which a pair at the
+similarity shares none with a chance below 1e-7, and less above it.
+
+Check: the sets of a group's nodes are compared exactly. Starting at a node, the nodes
 linked to it are found by counting common shingles, then the nodes linked to those, until all
 nodes are reached or have been started at; so the links that leave a task connect all that
 should be, and their number grows with the nodes. A group of more than BLOCK_SHINGLES shingles
@@ -29,11 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, slices
-from .simhash import components, signed
+from .simhash import BUCKET_ROWS, components, first_masks, links_in_buckets, signed, wide_fingerprint
 
 SEED = 42
 SHINGLE = 5
 SIMILARITY = Fraction(4, 5)
+#: 64-bit words of a fingerprint, and the differing bits of two that are linked.
+WORDS, RADIUS = 4, 84
 BANDS, BAND_ROWS = 32, 4
 #: Shingles of a block of a large group.
 BLOCK_SHINGLES = 1_000_000
@@ -78,15 +86,15 @@ def bands(values: np.ndarray) -> list[int]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, row, key of the set, number of shingles and bands, one row for each row of `docs` (doc_id, text, row)."""
+    """doc_id, row, key of the set, number of shingles, fingerprint and bands, one row for each row of `docs` (doc_id, text, row)."""
 
     def run(batches):
         for batch in (part for whole in batches for part in slices(whole, 1)):
-            found = [(key_of(v), len(v), bands(v)) for v in (shingles(t.as_py()) for t in batch.column(1))]
-            columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int64())))]
-            yield pa.record_batch([batch.column(0), batch.column(2), *columns], names=["doc_id", "row", "key", "n", "bands"])
+            found = [(key_of(v), len(v), wide_fingerprint(v, WORDS), bands(v)) for v in (shingles(t.as_py()) for t in batch.column(1))]
+            columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 2))]
+            yield pa.record_batch([batch.column(0), batch.column(2), *columns], names=["doc_id", "row", "key", "n", "fp", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, row long, key long, n long, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, row long, key long, n long, fp array<long>, bands array<long>")
 
 
 def linked(sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -159,11 +167,16 @@ def sets_of(docs: DataFrame, members: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "key long, group long, k int, values array<long>")
 
 
-def links(docs: DataFrame, distinct: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+def near_fingerprints(distinct: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Links u > v between keys that connect all fingerprints that share a bucket and are within the radius."""
+    blocks = F.transform(F.array(*map(F.lit, first_masks())), lambda mask: F.xxhash64(mask, F.col("fp")[0].bitwiseAND(mask)))
+    words = [F.col("fp")[k].alias(f"fp_{k}") for k in range(WORDS)]
+    return links_in_buckets(distinct.select(F.explode(F.concat("bands", blocks)).alias("bucket"), F.col("key").alias("node"), *words), radius, bucket_rows)
+
+
+def links(docs: DataFrame, distinct: DataFrame, block_shingles: int = BLOCK_SHINGLES, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Links u > v between keys that connect all sets within the similarity."""
-    buckets = distinct.select("key", F.explode("bands").alias("bucket"))
-    first = buckets.groupBy("bucket").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket", "first")
-    stars = components(buckets.join(first, "bucket").select(F.col("key").alias("u"), F.col("first").alias("v")))
+    stars = components(near_fingerprints(distinct, radius, bucket_rows))
     nodes = materialize(stars.unionByName(stars.select(F.col("root").alias("node"), "root")).distinct(), "nearcopies-groups")
     nodes = distinct.select("rep", "key", "n").join(nodes, F.col("key") == F.col("node")).select("rep", "key", "n", F.col("root").alias("group"))
     blocks = nodes.groupBy("group").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("k"))
@@ -177,13 +190,13 @@ def links(docs: DataFrame, distinct: DataFrame, block_shingles: int = BLOCK_SHIN
     return dealt.repartition("cell").sortWithinPartitions("cell", "key").mapInArrow(link_cells, "u long, v long")
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_shingles: int = BLOCK_SHINGLES, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, row (a hash of the text) and component_id (the smallest doc_id reachable) for each row of `docs`."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = materialize(sketches(texts.withColumn("row", F.xxhash64("text"))), "nearcopies-rows")
-    distinct = rows.filter("doc_id IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "n")).alias("at"), F.first("bands").alias("bands"))
-    distinct = materialize(distinct.select("key", F.col("at.doc_id").alias("rep"), F.col("at.n").alias("n"), "bands"), "nearcopies-distinct")
-    stars = components(links(texts, distinct, block_shingles))
+    distinct = rows.filter("doc_id IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "n")).alias("at"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    distinct = materialize(distinct.select("key", F.col("at.doc_id").alias("rep"), F.col("at.n").alias("n"), "fp", "bands"), "nearcopies-distinct")
+    stars = components(links(texts, distinct, block_shingles, radius, bucket_rows))
     classes = distinct.join(stars, F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("root", "key").alias("class"))
     least = classes.groupBy("class").agg(F.min("rep").alias("component_id"))
     joined = rows.select("doc_id", "row", "key").join(classes.join(least, "class").select("key", "component_id"), "key", "left")

@@ -15,6 +15,11 @@ radius. Only the links that connect something new inside a bucket leave the task
 number grows with the rows and not with the pairs; buckets whose rows are all connected are
 left early.
 
+Wider fingerprints (`wide_fingerprint`) and radii are compared in the same way in the buckets
+that a caller names (`links_in_buckets`): a radius of a third of the bits leaves no block equal
+for certain, so the blocks' buckets are joined by others, and a bucket with more than
+BUCKET_ROWS nodes is dealt out in blocks, every two of which are compared.
+
 Components come from alternating large-star and small-star steps on the links between
 representatives (the smallest doc_id of each fingerprint), written to the shared folder.
 
@@ -65,6 +70,26 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def mixed(values: np.ndarray) -> np.ndarray:
+    """The values as SplitMix64 mixes them."""
+    values = values + np.uint64(0x9E3779B97F4A7C15)
+    values = (values ^ values >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ values >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return values ^ values >> np.uint64(31)
+
+
+def wide_fingerprint(hashes: np.ndarray, words: int) -> list[int]:
+    """Majority bits of the hashes, then of the hashes mixed once, twice and so on, as signed longs."""
+    counts = np.zeros(64 * words, np.int64)
+    for at in range(0, len(hashes), 255):  # sums of 255 bits fit a byte
+        columns = [hashes[at : at + 255]]
+        while len(columns) < words:
+            columns.append(mixed(columns[-1]))
+        some = np.stack(columns, axis=1).astype("<u8", copy=False)
+        counts += np.unpackbits(some.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+    return np.packbits(counts * 2 > len(hashes), bitorder="little").view("<i8").tolist()
+
+
 def signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
@@ -97,25 +122,31 @@ def next_masks(mask: int) -> list[int]:
 
 
 def planes_of(fps: np.ndarray, bits: list[int]) -> np.ndarray:
-    """Bit planes, least significant row first, 64 rows to a word, with a spare word at the end."""
+    """Bit planes, least significant row first, 64 rows to a word, with a spare word at the end.
+
+    Bit 64 * w + b of a wide fingerprint is bit b of column w.
+    """
     words = len(fps) // 64 + 2
+    fps = fps[:, None] if fps.ndim == 1 else fps
     out = np.zeros((len(bits), words), "<u8")
     for k, bit in enumerate(bits):
-        packed = np.packbits((fps >> np.uint64(bit) & np.uint64(1)).astype(np.uint8), bitorder="little")
+        packed = np.packbits((fps[:, bit // 64] >> np.uint64(bit % 64) & np.uint64(1)).astype(np.uint8), bitorder="little")
         out[k].view(np.uint8)[: len(packed)] = packed
     return out
 
 
-def within_radius(planes: np.ndarray, by: int, wanted: np.ndarray) -> np.ndarray:
-    """Bit set for each wanted row i that differs from row i + by in RADIUS bits or fewer.
+def within_radius(planes: np.ndarray, by: int, wanted: np.ndarray, radius: int = RADIUS) -> np.ndarray:
+    """Bit set for each wanted row i that differs from row i + by in `radius` bits or fewer.
 
-    Counters c0 c1 c2 hold the differences seen so far, modulo eight, and `over` the rows
-    beyond the radius; words in which every row is over are not looked at again.
+    The counters (carry-save, a bit each) begin so that difference `radius` + 1 carries out of
+    the last of them; `over` holds the rows beyond the radius, and words in which every row is
+    over are not looked at again.
     """
     live = np.flatnonzero(wanted)
     words, bits = divmod(by, 64)
-    zero = np.zeros(len(live), np.uint64)
-    c0, c1, c2, over = zero, zero.copy(), zero.copy(), ~wanted[live]
+    begin = (1 << radius.bit_length()) - 1 - radius
+    counters = [np.full(len(live), 0xFFFFFFFFFFFFFFFF if begin >> c & 1 else 0, np.uint64) for c in range(radius.bit_length())]
+    over = ~wanted[live]
     size = planes.shape[1]
     low, high = np.minimum(live + words, size - 1), np.minimum(live + words + 1, size - 1)
     for k in range(len(planes)):
@@ -123,18 +154,15 @@ def within_radius(planes: np.ndarray, by: int, wanted: np.ndarray) -> np.ndarray
         other = plane[low]
         if bits:
             other = other >> np.uint64(bits) | plane[high] << np.uint64(64 - bits)
-        add = plane[live] ^ other
-        carry = c0 & add
-        c0 = c0 ^ add
-        add = c1 & carry
-        c1 = c1 ^ carry
-        c2 = c2 | add
-        over = over | c2 & (c1 | c0)  # five or more
+        carry = plane[live] ^ other
+        for c, counter in enumerate(counters):
+            counters[c], carry = counter ^ carry, counter & carry
+        over = over | carry
         if k % 8 == 7:
             open_words = over != np.uint64(0xFFFFFFFFFFFFFFFF)
             if not open_words.all():
-                live, low, high = live[open_words], low[open_words], high[open_words]
-                c0, c1, c2, over = c0[open_words], c1[open_words], c2[open_words], over[open_words]
+                live, low, high, over = live[open_words], low[open_words], high[open_words], over[open_words]
+                counters = [counter[open_words] for counter in counters]
                 if not len(live):
                     break
     out = np.zeros(size, np.uint64)
@@ -149,7 +177,7 @@ def bits_of(flags: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def links_of_run(fps: np.ndarray, reps: np.ndarray, bucket: np.ndarray, bits: list[int]) -> list[tuple[int, int]]:
+def links_of_run(fps: np.ndarray, reps: np.ndarray, bucket: np.ndarray, bits: list[int], radius: int = RADIUS) -> list[tuple[int, int]]:
     """Links that connect the rows of each bucket; `bucket` numbers the sorted rows' buckets."""
     found: list[tuple[int, int]] = []
     parent = np.arange(len(fps))
@@ -169,7 +197,9 @@ def links_of_run(fps: np.ndarray, reps: np.ndarray, bucket: np.ndarray, bits: li
         same[:-by] = own[:-by] == own[by:]
         if not same.any():
             break
-        hit = within_radius(planes, by, bits_of(same, planes.shape[1]))
+        heads = parent[rows]
+        same[:-by] &= heads[:-by] != heads[by:]  # what is connected need not be compared
+        hit = within_radius(planes, by, bits_of(same, planes.shape[1]), radius)
         for i in np.flatnonzero(np.unpackbits(hit.view(np.uint8), bitorder="little")[: len(rows)]).tolist():
             a, b = root(rows[i]), root(rows[i + by])
             if a != b:
@@ -229,6 +259,58 @@ def link_buckets(batches):
     yield as_batch(links)
 
 
+def link_runs(batches, radius: int):
+    """Rows (bucket, node, fingerprint's words) sorted by bucket -> links, a run of whole buckets at a time."""
+    held: list[np.ndarray] = []
+    rest, size = None, 0
+
+    def links(rows):
+        """Links of rows whose buckets have others."""
+        change = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0]))
+        sizes = np.diff(np.append(change, len(rows)))
+        number = np.repeat(np.arange(len(sizes)), sizes)
+        some = np.repeat(sizes > 1, sizes)
+        rows, number = rows[some], number[some]
+        fps = np.asfortranarray(rows[:, 2:]).view(np.uint64)
+        found = links_of_run(fps, rows[:, 1], number, list(range(64 * fps.shape[1])), radius) if len(rows) else []
+        return pa.record_batch([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["u", "v"])
+
+    for batch in batches:
+        held.append(np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1))
+        size += batch.num_rows
+        if size >= RUN_ROWS:
+            rows = np.concatenate(held if rest is None else [rest, *held])
+            stop = int(np.searchsorted(rows[:, 0], rows[-1, 0]))
+            rest, held, size = rows[stop:], [], 0
+            if stop:
+                yield links(rows[:stop])
+    if rest is not None:
+        held.insert(0, rest)
+    if held:
+        yield links(np.concatenate(held))
+
+
+def links_in_buckets(entries: DataFrame, radius: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Links u > v between nodes that connect all that share a bucket and differ in `radius` bits or fewer.
+
+    `entries` has bucket, node and the words of the fingerprint, all longs.
+    """
+    words = [c for c in entries.columns if c not in ("bucket", "node")]
+    entries = entries.select("bucket", "node", *words)
+    k = F.ceil(F.col("count") / bucket_rows).cast("int").alias("k")
+    large = materialize(entries.groupBy("bucket").count().filter(F.col("count") > bucket_rows).select(F.col("bucket").alias("of"), k), "simhash-large")
+    n_large = large.count()
+    if n_large:
+        # Blocks i < j of a large bucket meet in cell (i, j), a bucket of its own.
+        rows = entries.join(F.broadcast(large) if n_large <= BROADCAST_ROWS else large, F.col("bucket") == F.col("of"), "left")
+        own = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
+        others = F.filter(F.sequence(F.lit(0), F.col("k") - 1), lambda j: j != own)
+        cells = F.transform(others, lambda j: F.xxhash64("bucket", F.least(j, own), F.greatest(j, own)))
+        entries = rows.select(F.explode(F.when(F.col("k").isNull(), F.array("bucket")).otherwise(cells)).alias("bucket"), "node", *words)
+    dealt = entries.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(lambda batches: link_runs(batches, radius), "u long, v long")
+
+
 def compare(candidates: DataFrame) -> DataFrame:
     key = F.col("fp").bitwiseAND(F.col("mask"))
     return candidates.repartition(F.col("mask"), key).sortWithinPartitions("mask", key).mapInArrow(link_buckets, "u long, v long")
