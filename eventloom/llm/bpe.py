@@ -23,8 +23,11 @@ import os
 import re
 import sys
 import unicodedata
+from array import array
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -59,8 +62,27 @@ def byte_characters() -> list[str]:
     return [shown[b] for b in range(256)]
 
 
+class CodePoints(Sequence):
+    """The characters of all code points but surrogates. None is held: as a list they took 82 MB of every worker."""
+
+    points = range(0xD800), range(0xE000, 0x110000)
+
+    def __len__(self) -> int:
+        return sum(map(len, self.points))
+
+    def __iter__(self) -> Iterator[str]:
+        return map(chr, chain(*self.points))
+
+    def __getitem__(self, at: int | slice) -> str | list[str]:
+        if isinstance(at, slice):
+            return [self[i] for i in range(*at.indices(len(self)))]
+        low, high = self.points
+        at = range(len(self))[at]
+        return chr(low[at] if at < len(low) else high[at - len(low)])
+
+
 #: Every code point that a text can have.
-EVERY = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+EVERY = CodePoints()
 
 
 def ranges(chars: list[str]) -> str:
@@ -130,6 +152,7 @@ class Encoder:
         written = {token: token.removesuffix(suffix) + END if token.endswith(suffix) else token for token in file["model"]["vocab"]}
         self.ids = {written[token]: i for token, i in file["model"]["vocab"].items()}
         self.names = {i: token for token, i in file["model"]["vocab"].items()}
+        one = {token: token for token in self.ids}  # one string for all places of a token
         self.special = {x["content"]: x["id"] for x in file["added_tokens"]}
         self.names |= {i: content for content, i in self.special.items()}
         self.rank: dict[tuple[str, str], int] = {}
@@ -137,8 +160,9 @@ class Encoder:
         for rank, pair in enumerate(file["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             left, right = left.removesuffix(suffix) + END * left.endswith(suffix), right.removesuffix(suffix) + END * right.endswith(suffix)
+            left, right, whole = (one.setdefault(x, x) for x in (left, right, left + right))
             self.rank[left, right] = rank
-            self.parts.setdefault(left + right, (left, right, rank))
+            self.parts.setdefault(whole, (left, right, rank))
         self.automaton = ahocorasick.Automaton()
         for token in self.ids:
             if self.reachable(token):
@@ -149,8 +173,8 @@ class Encoder:
         self.beyond = re.compile("[\U00010000-\U0010ffff]").search
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
         self.bytes = byte_characters()
-        self.known: dict[str, tuple[str, str]] = {}
-        self.before: dict[str, tuple[str, str]] = {}
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.apart: dict[int, bool] = {}
 
     def edge(self, token: str, side: int) -> list[tuple[str, int]]:
@@ -232,12 +256,11 @@ class Encoder:
             end -= token[2]
         return found[::-1]
 
-    def piece(self, word: str) -> tuple[str, str]:
-        """Ids and decoding of one pre-token, each joined by spaces."""
+    def piece(self, word: str) -> bytes:
+        """Ids of one pre-token, four bytes each: the smallest that can be remembered of it."""
         if not word.isascii() or not word.isprintable():
             word = "".join([self.bytes[b] for b in word.encode()])
-        ids = [t[0] for t in self.tokens(word)]
-        return " ".join(map(str, ids)), self.decode(ids)
+        return array("i", [t[0] for t in self.tokens(word)]).tobytes()
 
     def decode(self, ids: list[int]) -> str:
         """The file has no decoder: its tokens are written as they are, a space between them."""
@@ -254,11 +277,11 @@ class Encoder:
         # The library lowers one character at a time, Python a final sigma by its place.
         return unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
 
-    def pieces(self, text: str) -> list[tuple[str, str]]:
+    def pieces(self, text: str) -> list[bytes]:
         found = []
         for part in self.special_split(text) if self.special_split and any(s in text for s in self.special) else [text]:
             if part in self.special:
-                found.append((str(self.special[part]), part))
+                found.append(array("i", [self.special[part]]).tobytes())
                 continue
             part = self.normalize(part)
             split = self.split if part.isascii() or not self.beyond(part) else self.split_any
@@ -277,18 +300,20 @@ class Encoder:
 
     def encode_both(self, text: str) -> tuple[np.ndarray, str]:
         """Ids and decoding of a text."""
-        found = self.pieces(text)
-        ids = np.array(" ".join([p[0] for p in found]).split(), np.int32)
-        return ids, " ".join([p[1] for p in found])
+        ids = np.frombuffer(b"".join(self.pieces(text)), np.int32)
+        return ids, self.decode(ids.tolist())
 
     def encode(self, text: str) -> list[int]:
-        return self.encode_both(text)[0].tolist()
+        return np.frombuffer(b"".join(self.pieces(text)), np.int32).tolist()
+
+    @cached_property
+    def decimals(self) -> list[str]:
+        """Every id in writing."""
+        return [str(i) for i in range(max(self.names) + 1)]
 
     def digest(self, text: str) -> tuple[int, str, str]:
-        found = self.pieces(text)
-        ids = " ".join([p[0] for p in found])
-        decoded = " ".join([p[1] for p in found])
-        return ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+        ids, decimals = self.encode(text), self.decimals
+        return len(ids), hashlib.sha256(" ".join([decimals[i] for i in ids]).encode()).hexdigest(), hashlib.sha256(self.decode(ids).encode()).hexdigest()
 
 
 @lru_cache(maxsize=2)

@@ -2,6 +2,9 @@
 
 import hashlib
 import random
+import subprocess
+import sys
+import tracemalloc
 import unicodedata
 
 import pytest
@@ -57,3 +60,29 @@ def test_edges(spark, both):
     assert got == sorted(expected, key=str)
     assert sorted((r.doc_id, len(r.ids)) for r in B.encode(frame).collect() if r.doc_id) == sorted((i, n) for i, n, *_ in expected if i)
     assert B.encode_digest(frame.limit(0)).count() == 0
+
+
+def test_a_worker_holds_little(both):
+    """Neither loading the module nor a remembered pre-token takes much of a worker's memory."""
+    code = "import tracemalloc, eventloom.llm.common; tracemalloc.start(); from eventloom.llm import bpe; print(tracemalloc.get_traced_memory()[0])"
+    assert int(subprocess.run([sys.executable, "-c", code], env={"PYTHONPATH": ":".join(sys.path)}, capture_output=True, check=True, text=True).stdout) < 4e6
+    model, rng = both[1], random.Random(6)
+    text = " ".join({"".join(rng.choice("aeinthr") for _ in range(8)) for _ in range(5000)})
+    model.encode(text)  # the pairs of tokens are remembered now
+    model.known, model.before = {}, {}
+    tracemalloc.start()
+    try:
+        model.encode_both(text)
+        assert tracemalloc.get_traced_memory()[0] < 200 * len(model.known) and len(model.known) > 4900
+    finally:
+        tracemalloc.stop()
+
+
+def test_every_code_point_once():
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert list(B.EVERY) == every and len(B.EVERY) == len(every)
+    for at in (0, 0xD7FF, 0xD800, 0xD801, len(every) - 1, -1):
+        assert B.EVERY[at] == every[at]
+    assert B.EVERY[0xD7F0:0xD810] == every[0xD7F0:0xD810] and B.EVERY[-3:] == every[-3:]
+    with pytest.raises(IndexError):
+        B.EVERY[len(every)]
